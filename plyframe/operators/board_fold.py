@@ -1,0 +1,412 @@
+"""Arrow-side helper of the replay job: play the moves of many games at once.
+
+Spark tokenises the move text and renders the positions; this helper only folds
+boards.  A batch of games advances ply by ply, and every step is a numpy operation
+over all games still running, so no Python code runs per move.
+
+Boards are ``int8[n, 64]`` in position-text order (index 0 = a8, 63 = h1); a piece is
+its kind (1 pawn, 2 knight, 3 bishop, 4 rook, 5 queen, 6 king), negative for Black.
+"""
+
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import pyarrow as pa
+
+LETTERS = ".PNBRQKkqrbnp"  # indexed by piece code: 0..6 White, -1..-6 from the end
+START = "rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1"
+SAN = re.compile(
+    r"(?:([NBRQK])?([a-h])?([1-8])?[x-]?([a-h])([1-8])(?:=?([NBRQnbrq]))?|([O0]-[O0](-[O0])?))[+#]?"
+)
+
+LINES = [(-1, 0), (1, 0), (0, -1), (0, 1), (-1, -1), (-1, 1), (1, -1), (1, 1)]
+JUMPS = [(-2, -1), (-2, 1), (-1, -2), (-1, 2), (1, -2), (1, 2), (2, -1), (2, 1)]
+
+
+def _geometry():
+    """Origins from which a target square can be reached.
+
+    Returns ``origin[64, 36]`` (-1 = none), ``between[64, 36]`` (bit set of the squares
+    that must be empty) and ``kinds[2, 64, 36]`` (bit set of piece kinds that attack
+    along that entry, for White / Black); the last entry is a pawn's double step.
+    """
+    origin = np.full((64, 36), -1, np.int8)
+    between = np.zeros((64, 36), np.uint64)
+    kinds = np.zeros((2, 64, 36), np.int16)
+    for to in range(64):
+        row, col = divmod(to, 8)
+        slot = 0
+        for dr, dc in LINES:
+            seen = 0
+            for step in range(1, 8):
+                r, c = row + dr * step, col + dc * step
+                if not (0 <= r < 8 and 0 <= c < 8):
+                    break
+                origin[to, slot], between[to, slot] = r * 8 + c, seen
+                slider = 1 << 3 if dr and dc else 1 << 4
+                kinds[:, to, slot] = slider | 1 << 5 | (1 << 6 if step == 1 else 0)
+                if step == 1 and dr and dc:
+                    kinds[0 if dr == 1 else 1, to, slot] |= 1 << 1
+                seen |= 1 << (r * 8 + c)
+                slot += 1
+        for dr, dc in JUMPS:
+            r, c = row + dr, col + dc
+            if 0 <= r < 8 and 0 <= c < 8:
+                origin[to, slot] = r * 8 + c
+                kinds[:, to, slot] = 1 << 2
+                slot += 1
+    return origin, between, kinds
+
+
+ORIGIN, BETWEEN, KINDS = _geometry()
+
+
+def _occupied(boards):
+    return np.packbits(boards != 0, axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def _attacked(boards, squares, by):
+    """Whether side ``by`` (+1 / -1 per row) attacks ``squares`` (one per row)."""
+    origin = ORIGIN[squares]
+    piece = np.take_along_axis(boards, origin.clip(0).astype(np.intp), 1) * by[:, None]
+    clear = (BETWEEN[squares] & _occupied(boards)[:, None]) == 0
+    kinds = KINDS[(by < 0).astype(np.intp), squares]
+    return ((piece > 0) & (origin >= 0) & clear & ((kinds >> piece.clip(0)) & 1 == 1)).any(1)
+
+
+def _king(boards, side):
+    return (boards == (6 * side)[:, None]).argmax(1)
+
+
+def _parse_san(text):
+    """One token -> (kind, from file, from row, to, promotion, castling side)."""
+    found = SAN.fullmatch(text or "")
+    if not found:
+        return 0, -1, -1, -1, 0, 0
+    piece, file, rank, to_file, to_rank, promotion, castle, long = found.groups()
+    if castle:
+        return 6, -1, -1, -1, 0, 2 if long else 1
+    from_file = "abcdefgh".index(file) if file else -1
+    if not piece and not file:
+        from_file = "abcdefgh".index(to_file)  # a pawn capture names its file
+    return (
+        "PNBRQK".index(piece or "P") + 1,
+        from_file,
+        8 - int(rank) if rank else -1,
+        (8 - int(to_rank)) * 8 + "abcdefgh".index(to_file),
+        "PNBRQ".index(promotion.upper()) + 1 if promotion else 0,
+        0,
+    )
+
+
+def _parse_position(text):
+    """Position text -> (board, side, castling rooks KQkq, en-passant square, clocks)."""
+    fields = text.split(" ")
+    board = np.zeros(64, np.int8)
+    row = col = 0
+    for mark in fields[0]:
+        if mark == "/":
+            row, col = row + 1, 0
+        elif mark.isdigit():
+            col += int(mark)
+        else:
+            kind = "PNBRQK".index(mark.upper()) + 1
+            board[row * 8 + col] = kind if mark.isupper() else -kind
+            col += 1
+    rooks = np.full(4, -1, np.int8)
+    for mark in fields[2] if len(fields) > 2 else "-":
+        if mark == "-":
+            continue
+        white = mark.isupper()
+        base, side = (56, 1) if white else (0, -1)
+        rank = board[base : base + 8]
+        king = int((rank == 6 * side).argmax())
+        own = np.flatnonzero(rank == 4 * side)
+        if mark in "KQkq":
+            file = int(own.max() if mark in "Kk" else own.min())
+        else:
+            file = "abcdefgh".index(mark.lower())
+        rooks[(0 if white else 2) + (0 if file > king else 1)] = base + file
+    passing = fields[3] if len(fields) > 3 else "-"
+    return (
+        board,
+        -1 if len(fields) > 1 and fields[1] == "b" else 1,
+        rooks,
+        -1 if passing == "-" else (8 - int(passing[1])) * 8 + "abcdefgh".index(passing[0]),
+        int(fields[4]) if len(fields) > 4 else 0,
+        int(fields[5]) if len(fields) > 5 else 1,
+    )
+
+
+class _Games:
+    """State of the games of one batch."""
+
+    def __init__(self, positions):
+        distinct, which = np.unique(positions, return_inverse=True)
+        parsed = [_parse_position(p) for p in distinct]
+        self.board = np.stack([p[0] for p in parsed])[which]
+        self.side = np.array([p[1] for p in parsed], np.int8)[which]
+        self.rooks = np.stack([p[2] for p in parsed])[which]
+        self.passing = np.array([p[3] for p in parsed], np.int8)[which]
+        self.quiet = np.array([p[4] for p in parsed], np.int32)[which]
+        self.turn = np.array([p[5] for p in parsed], np.int32)[which]
+
+
+def _piece_moves(games, rows, kind, from_file, from_row, to, promotion):
+    """Resolve ordinary moves: -> (index into rows, origin, board after), legal ones only."""
+    board, side = games.board[rows], games.side[rows]
+    white = side > 0
+    origin = ORIGIN[to].copy()
+    between = BETWEEN[to].copy()
+    reach = ((KINDS[(~white).astype(np.intp), to] >> kind[:, None]) & 1).astype(bool)
+    target = board[np.arange(len(rows)), to] * side
+    capture = (target < 0) | (to == games.passing[rows])
+    reach &= ((target <= 0) & ((kind != 1) | capture))[:, None]
+
+    # A pawn reaches an empty square from one (or, to its fourth rank, two) rows back.
+    pawn = np.flatnonzero((kind == 1) & (target == 0) & ~((to == games.passing[rows]) & (from_file != to % 8)))
+    if len(pawn):
+        back = np.where(white[pawn], 8, -8)
+        single = to[pawn] + back
+        double = single + back
+        fourth = to[pawn] // 8 == np.where(white[pawn], 4, 3)
+        reach[pawn] = False
+        origin[pawn, 34] = np.where((single >= 0) & (single < 64), single, -1)
+        reach[pawn, 34] = origin[pawn, 34] >= 0
+        between[pawn, 34] = 0
+        origin[pawn, 35] = np.where(fourth, double, -1)
+        reach[pawn, 35] = fourth
+        between[pawn, 35] = np.left_shift(np.uint64(1), single.clip(0, 63).astype(np.uint64))
+    square = origin.clip(0).astype(np.intp)
+    reach &= np.take_along_axis(board, square, 1) == (kind * side)[:, None]
+    reach &= (origin >= 0) & ((between & _occupied(board)[:, None]) == 0)
+    reach &= (from_file[:, None] < 0) | (square % 8 == from_file[:, None])
+    reach &= (from_row[:, None] < 0) | (square // 8 == from_row[:, None])
+    last = to // 8 == np.where(white, 0, 7)
+    reach &= ((promotion > 0) == ((kind == 1) & last))[:, None]
+
+    at, slot = np.nonzero(reach)
+    start = origin[at, slot].astype(np.intp)
+    after, each = board[at], np.arange(len(at))
+    mover = side[at]
+    passed = (kind[at] == 1) & (to[at] == games.passing[rows][at]) & (start % 8 != to[at] % 8)
+    after[each, start] = 0
+    after[each, to[at]] = np.where(promotion[at] > 0, promotion[at], kind[at]) * mover
+    taken = to[at] + np.where(mover > 0, 8, -8)
+    after[each[passed], taken[passed]] = 0
+    safe = ~_attacked(after, _king(after, mover), -mover)
+    return at[safe], start[safe], after[safe]
+
+
+def _castling(games, rows, wing):
+    """Resolve castling: -> (index into rows, king origin, king target, board after)."""
+    board, side = games.board[rows], games.side[rows]
+    base = np.where(side > 0, 56, 0)
+    rook = games.rooks[rows, np.where(side > 0, 0, 2) + wing - 1].astype(np.intp)
+    king = _king(board, side)
+    king_to = base + np.where(wing == 1, 6, 2)
+    rook_to = base + np.where(wing == 1, 5, 3)
+    legal = rook >= 0
+    each = np.arange(len(rows))
+    bare = board.copy()
+    bare[each, king] = 0
+    moved = bare.copy()
+    bare_rookless = bare.copy()
+    bare_rookless[each[legal], rook[legal]] = 0
+    for step in range(8):  # squares both pieces cross; ends of the walk repeat
+        walk = king + np.sign(king_to - king) * np.minimum(step, np.abs(king_to - king))
+        legal &= (bare_rookless[each, walk] == 0) & ~_attacked(bare, walk, -side)
+        walk = rook + np.sign(rook_to - rook) * np.minimum(step, np.abs(rook_to - rook))
+        legal &= bare_rookless[each, walk.clip(0)] == 0
+    moved[each[legal], rook[legal]] = 0
+    moved[each, rook_to] = 4 * side
+    moved[each, king_to] = 6 * side
+    legal &= ~_attacked(moved, king_to, -side)
+    return each[legal], king[legal], king_to[legal], moved[legal]
+
+
+def _passing_shown(games, rows):
+    """En-passant square of each row if some pawn may really capture there, else -1."""
+    shown = np.full(len(rows), -1, np.int8)
+    open_rows = np.flatnonzero(games.passing[rows] >= 0)
+    for sideways in (-1, 1):
+        at = open_rows[shown[open_rows] < 0]
+        square = games.passing[rows[at]].astype(np.intp)
+        side = games.side[rows[at]]
+        start = square + np.where(side > 0, 8, -8) + sideways
+        ok = (square % 8 + sideways >= 0) & (square % 8 + sideways < 8)
+        at, square, side, start = at[ok], square[ok], side[ok], start[ok]
+        board, each = games.board[rows[at]], np.arange(len(at))
+        own = board[each, start] == side
+        board[each, start] = 0
+        board[each, square] = side
+        board[each, square + np.where(side > 0, 8, -8)] = 0
+        ok = own & ~_attacked(board, _king(board, side), -side)
+        shown[at[ok]] = square[ok]
+    return shown
+
+
+def _rights_text(games, rows):
+    """Castling field: KQkq, or the rook's file if a rook further out makes that unclear."""
+    text = np.full((len(rows), 4), "", "U1")
+    for right, (mark, base, outward) in enumerate(
+        [("K", 56, 1), ("Q", 56, -1), ("k", 0, 1), ("q", 0, -1)]
+    ):
+        rook = games.rooks[rows, right].astype(np.intp)
+        has = np.flatnonzero(rook >= 0)
+        text[has, right] = mark
+        inner = has[rook[has] != base + (7 if outward == 1 else 0)]
+        for at in inner:  # only shuffled starts get here
+            rank = games.board[rows[at], base : base + 8]
+            own = np.flatnonzero(rank == (4 if base else -4))
+            file = rook[at] - base
+            if (own > file).any() if outward == 1 else (own < file).any():
+                letter = "abcdefgh"[file]
+                text[at, right] = letter.upper() if base else letter
+    joined = np.char.add(np.char.add(text[:, 0], text[:, 1]), np.char.add(text[:, 2], text[:, 3]))
+    return np.where(joined == "", "-", joined)
+
+
+def _fixed_text(chars):
+    """``uint8[n, width]`` -> Arrow string array without a Python object per row."""
+    rows, width = chars.shape
+    offsets = np.arange(0, (rows + 1) * width, width, dtype=np.int32)
+    data = np.ascontiguousarray(chars)
+    return pa.StringArray.from_buffers(rows, pa.py_buffer(offsets), pa.py_buffer(data))
+
+
+MOVE = pa.struct(
+    [
+        ("san", pa.string()),
+        ("from_square", pa.int32()),
+        ("to_square", pa.int32()),
+        ("promotion", pa.string()),
+        ("moved_piece", pa.string()),
+        ("color_move", pa.string()),
+        ("board", pa.string()),
+        ("castling", pa.string()),
+        ("passing_square", pa.int32()),
+        ("quiet_plies", pa.int32()),
+        ("turn_number", pa.int32()),
+    ]
+)
+REPLAY = pa.struct([("error", pa.string()), ("moves", pa.list_(MOVE))])
+
+
+def fold(sans: pa.Array, positions: pa.Array) -> pa.Array:
+    """Play ``sans`` (list of move tokens per game) from ``positions`` (null = usual start)."""
+    count = len(sans)
+    if count == 0:
+        return pa.array([], REPLAY)
+    length = np.nan_to_num(sans.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(length)[:-1]])
+    tokens = sans.flatten().dictionary_encode()
+    codes = tokens.indices.to_numpy(zero_copy_only=False).astype(np.intp)
+    parsed = np.array(
+        [_parse_san(t) for t in tokens.dictionary.to_pylist()] or [(0,) * 6], np.int8
+    )
+    games = _Games(np.array([p or START for p in positions.to_pylist()]))
+    marks = np.frombuffer(LETTERS.encode(), np.uint8)
+
+    alive = np.ones(count, bool)
+    error = np.full(count, None, object)
+    steps = []
+    for ply in range(int(length.max(initial=0))):
+        rows = np.flatnonzero(alive & (length > ply))
+        if not len(rows):
+            break
+        token = parsed[codes[first[rows] + ply]]
+        start = np.full(len(rows), -1, np.intp)
+        goal = token[:, 3].astype(np.intp)
+        after = np.zeros((len(rows), 64), np.int8)
+        found = np.zeros(len(rows), np.int32)
+
+        plain = np.flatnonzero((token[:, 5] == 0) & (token[:, 0] > 0))
+        if len(plain):
+            part = token[plain]
+            at, origin, boards = _piece_moves(
+                games, rows[plain], part[:, 0], part[:, 1], part[:, 2], goal[plain], part[:, 4]
+            )
+            np.add.at(found, plain[at], 1)
+            start[plain[at]], after[plain[at]] = origin, boards
+        castle = np.flatnonzero(token[:, 5] > 0)
+        if len(castle):
+            at, origin, king_to, boards = _castling(games, rows[castle], token[castle, 5])
+            found[castle[at]] = 1
+            start[castle[at]], goal[castle[at]], after[castle[at]] = origin, king_to, boards
+
+        for bad in np.flatnonzero(found != 1):
+            alive[rows[bad]] = False
+            kind = "ambiguous" if found[bad] > 1 else "illegal"
+            error[rows[bad]] = f"{kind} move at ply {ply + 1}: {tokens[int(first[rows[bad]] + ply)]}"
+        good = np.flatnonzero(found == 1)
+        rows, token, start, goal, after = rows[good], token[good], start[good], goal[good], after[good]
+        if not len(rows):
+            continue
+
+        # Bookkeeping: clocks, castling rights, en-passant square, side to move.
+        side = games.side[rows]
+        pawn = token[:, 0] == 1
+        capture = (games.board[rows, goal] * side < 0) & (token[:, 5] == 0)
+        games.quiet[rows] = np.where(pawn | capture, 0, games.quiet[rows] + 1)
+        rooks = games.rooks[rows]
+        rooks[(rooks == start[:, None]) | ((rooks == goal[:, None]) & (token[:, 5] == 0)[:, None])] = -1
+        king = token[:, 0] == 6
+        rooks[king & (side > 0), :2] = -1
+        rooks[king & (side < 0), 2:] = -1
+        games.rooks[rows] = rooks
+        double = pawn & (np.abs(start - goal) == 16)
+        games.passing[rows] = np.where(double, (start + goal) // 2, -1)
+        games.board[rows] = after
+        games.turn[rows] += side < 0
+        games.side[rows] = -side
+        steps.append(
+            (
+                rows,
+                np.full(len(rows), ply),
+                start ^ 56,  # the usual numbering starts at a1
+                goal ^ 56,
+                token[:, 4],
+                after[np.arange(len(rows)), goal],
+                side,
+                marks[after],
+                _rights_text(games, rows),
+                _passing_shown(games, rows),
+                games.quiet[rows],
+                games.turn[rows],
+            )
+        )
+
+    if steps:
+        columns = [np.concatenate(c) for c in zip(*steps)]
+        order = np.argsort(columns[0], kind="stable")
+        rows, ply, start, goal, promotion, moved, side, board, rights, passing, quiet, turn = (
+            c[order] for c in columns
+        )
+        promoted = pa.array(["", "", "n", "b", "r", "q"]).take(pa.array(promotion.astype(np.int64)))
+        moves = pa.StructArray.from_arrays(
+            [
+                tokens.dictionary.take(pa.array(codes[first[rows] + ply])),
+                pa.array(start.astype(np.int32)),
+                pa.array(goal.astype(np.int32)),
+                promoted,
+                pa.array(list(LETTERS)).take(pa.array(moved.astype(np.int64) % 13)),
+                pa.array(["Black", "White"]).take(pa.array((side > 0).astype(np.int64))),
+                _fixed_text(board),
+                pa.array(rights.astype(object), pa.string()),
+                pa.array(np.where(passing >= 0, passing ^ 56, -1).astype(np.int32)),
+                pa.array(quiet),
+                pa.array(turn),
+            ],
+            fields=list(MOVE),
+        )
+        played = np.bincount(rows, minlength=count)
+    else:
+        moves, played = pa.array([], MOVE), np.zeros(count, np.int64)
+    offsets = np.concatenate([[0], np.cumsum(played)]).astype(np.int32)
+    return pa.StructArray.from_arrays(
+        [pa.array(error, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), moves)],
+        fields=list(REPLAY),
+    )

@@ -1,0 +1,133 @@
+"""Replay job: from a game's move text to the position after every move."""
+
+from __future__ import annotations
+
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+
+from plyframe.functions.positions import placement, square_name
+from plyframe.functions.text import all_matches, header, header_block, move_block
+from plyframe.operators import board_fold
+
+# Executors receive the fold with the job, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(board_fold)
+
+# Headers that make the replay start from the header's own position.
+START_HEADERS = ["FEN", "Chess960", "Odds Chess"]
+
+MOVE_TOKEN = (
+    r"[NBKRQ]?[a-h]?[1-8]?[\-x]?[a-h][1-8](?:=?[nbrqkNBRQK])?[+#]?"
+    r"|[O0]-[O0](?:-[O0])?[+#]?|--|Z0|0000|@@@@|[PNBRQK]?@[a-h][1-8]|\(|\)"
+)
+
+_MOVE_TYPE = (
+    "struct<san:string,from_square:int,to_square:int,promotion:string,moved_piece:string,"
+    "color_move:string,board:string,castling:string,passing_square:int,quiet_plies:int,"
+    "turn_number:int>"
+)
+
+
+@arrow_udf(f"struct<error:string,moves:array<{_MOVE_TYPE}>>")
+def _fold(sans: pa.Array, positions: pa.Array) -> pa.Array:
+    return board_fold.fold(sans, positions)
+
+
+def move_tokens(moves: Column) -> Column:
+    """Moves of the main line: comments, move numbers, side lines and result dropped."""
+    plain = F.regexp_replace(F.regexp_replace(moves, r"\{[^}]*\}", " "), r";[^\n]*", " ")
+    tokens = all_matches(plain, MOVE_TOKEN)
+    nesting = F.aggregate(
+        tokens,
+        F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept")),
+        lambda state, token: F.struct(
+            F.when(token == "(", state["depth"] + 1)
+            .when(token == ")", F.greatest(state["depth"] - 1, F.lit(0)))
+            .otherwise(state["depth"])
+            .alias("depth"),
+            F.when(
+                token.isin("(", ")") | (state["depth"] > 0), state["kept"]
+            )
+            .otherwise(F.array_append(state["kept"], token))
+            .alias("kept"),
+        ),
+    )["kept"]
+    return F.when(F.contains(plain, F.lit("(")), nesting).otherwise(tokens)
+
+
+def start_position(game_text: Column) -> Column:
+    """Position of the header if one of the start headers is named, else NULL (usual start)."""
+    block = header_block(game_text)
+    named = F.lit(False)
+    for word in START_HEADERS:
+        named = named | F.contains(block, F.lit(word))
+    return F.when(named, F.nullif(header(block, r"\[FEN"), F.lit("")))
+
+
+def position_text(move: Column) -> Column:
+    """Render the position of one folded move as text."""
+    return F.concat_ws(
+        " ",
+        placement(move["board"]),
+        F.when(move["color_move"] == "White", "b").otherwise("w"),
+        move["castling"],
+        square_name(move["passing_square"]),
+        move["quiet_plies"].cast("string"),
+        move["turn_number"].cast("string"),
+    )
+
+
+def square_text(move: Column) -> Column:
+    """``from`` and ``to`` square names and the promotion letter, e.g. ``e7e8q``."""
+    return F.concat(
+        square_name(move["from_square"]), square_name(move["to_square"]), move["promotion"]
+    )
+
+
+def with_replay(games: DataFrame, text: str = "pgn", on_error: str = "keep") -> DataFrame:
+    """Add ``replay``: struct of ``error`` and ``moves``, one row per game.
+
+    A move that cannot be played ends the game there and sets ``error``.  ``on_error``:
+    ``keep`` the moves before it, ``empty`` the list, or ``raise``.  Only the move tokens
+    travel to Python; all other columns stay in the JVM.
+    """
+    replayed = games.withColumn(
+        "replay",
+        F.when(
+            F.col(text).isNotNull(),
+            _fold(
+                F.coalesce(move_tokens(move_block(F.col(text))), F.array().cast("array<string>")),
+                start_position(F.col(text)),
+            ),
+        ),
+    )
+    if on_error == "raise":
+        return replayed.withColumn(
+            "replay",
+            F.when(F.col("replay.error").isNotNull(), F.raise_error(F.col("replay.error"))).otherwise(
+                F.col("replay")
+            ),
+        )
+    if on_error == "empty":
+        return replayed.withColumn(
+            "replay",
+            F.when(
+                F.col("replay.error").isNotNull(),
+                F.struct(
+                    F.col("replay.error").alias("error"),
+                    F.array().cast(f"array<{_MOVE_TYPE}>").alias("moves"),
+                ),
+            ).otherwise(F.col("replay")),
+        )
+    return replayed
+
+
+def position_lists(games: DataFrame, text: str = "pgn", alias: str = "positions") -> DataFrame:
+    """Add the list of positions of each game; a game with an unplayable move gets ``[]``."""
+    return (
+        with_replay(games, text, on_error="empty")
+        .withColumn(alias, F.transform("replay.moves", position_text))
+        .drop("replay")
+    )

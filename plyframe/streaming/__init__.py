@@ -1,0 +1 @@
+"""Left empty on purpose: the work covered here is a daily full-replace batch."""
