@@ -15,14 +15,6 @@ ENDGAME_PIECES = 6
 PIECES = "PNBRQpnbrq"  # kings never leave the board
 
 
-def placement(squares: Column) -> Column:
-    """64 squares as text ('.' = empty) to the ranked, run-length form."""
-    ranks = F.concat_ws("/", *[F.substring(squares, 1 + 8 * rank, 8) for rank in range(8)])
-    for run in range(8, 0, -1):
-        ranks = F.replace(ranks, F.lit("." * run), F.lit(str(run)))
-    return ranks
-
-
 def square_name(number: Column) -> Column:
     """0..63 (a1 = 0) to its name, '-' for -1."""
     return F.when(number < 0, F.lit("-")).otherwise(
@@ -34,7 +26,7 @@ def square_name(number: Column) -> Column:
 
 
 def squares(position: Column) -> Column:
-    """Inverse of :func:`placement`: 64 characters, '.' for an empty square."""
+    """The board field spelled out: 64 characters, '.' for an empty square."""
     board = F.replace(part(position, " ", 1), F.lit("/"), F.lit(""))
     for run in range(1, 9):
         board = F.replace(board, F.lit(str(run)), F.lit("." * run))
@@ -46,24 +38,31 @@ def lost_letter(before: Column, after: Column, letters: str = PIECES) -> Column:
 
     The set difference of the letters, counted: a pawn that promotes is lost too.
     """
+
+    def without(text: Column, letter: str) -> Column:
+        return F.length(F.replace(text, F.lit(letter), F.lit("")))
+
+    shrunk = F.length(before) - F.length(after)
     places = [
         F.when(
-            letter_count(before, letter) > letter_count(after, letter),
-            F.instr(before, letter),
+            without(before, letter) - without(after, letter) < shrunk, F.instr(before, letter)
         )
         for letter in letters
     ]
-    first = F.least(*places)
-    return F.when(before != "", F.substring(before, first, F.lit(1)))
+    return F.when(before != "", F.substring(before, F.least(*places), F.lit(1)))
 
 
 def piece_counts(position: Column) -> dict[str, Column]:
     """Pieces (no pawns, no kings) on the board, and on each side's own back rank."""
     board = part(position, " ", 1)
+    return rank_counts(board, part(board, "/", 1), part(board, "/", -1))
+
+
+def rank_counts(board: Column, black_rank: Column, white_rank: Column) -> dict[str, Column]:
     return {
         "major_minor_cnt": letter_count(board, "rnbqRNBQ").cast("long"),
-        "black_major_minor": letter_count(part(board, "/", 1), "rnbq").cast("long"),
-        "white_major_minor": letter_count(part(board, "/", -1), "RNBQ").cast("long"),
+        "black_major_minor": letter_count(black_rank, "rnbq").cast("long"),
+        "white_major_minor": letter_count(white_rank, "RNBQ").cast("long"),
     }
 
 

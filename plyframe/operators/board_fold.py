@@ -20,6 +20,9 @@ START = "rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1"
 SAN = re.compile(
     r"(?:([NBRQK])?([a-h])?([1-8])?[x-]?([a-h])([1-8])(?:=?([NBRQnbrq]))?|([O0]-[O0](-[O0])?))[+#]?"
 )
+UNPLAYABLE = re.compile(r"--|Z0|0000|@@@@|[PNBRQK]?@[a-h][1-8]|.*[a-h][1-8]=?[kK][+#]?")
+MARKS = np.frombuffer(LETTERS.encode(), np.uint8)
+RIGHTS = ["".join(m for i, m in enumerate("KQkq") if bits >> i & 1) or "-" for bits in range(16)]
 
 LINES = [(-1, 0), (1, 0), (0, -1), (0, 1), (-1, -1), (-1, 1), (1, -1), (1, 1)]
 JUMPS = [(-2, -1), (-2, 1), (-1, -2), (-1, 2), (1, -2), (1, 2), (2, -1), (2, 1)]
@@ -81,10 +84,13 @@ def _king(boards, side):
 
 
 def _parse_san(text):
-    """One token -> (kind, from file, from row, to, promotion, castling side)."""
+    """One token -> (kind, from file, from row, to, promotion, castling side).
+
+    Kind 0 is a move that cannot be played (a null move, a drop), -1 no move at all.
+    """
     found = SAN.fullmatch(text or "")
     if not found:
-        return 0, -1, -1, -1, 0, 0
+        return 0 if UNPLAYABLE.fullmatch(text or "") else -1, -1, -1, -1, 0, 0
     piece, file, rank, to_file, to_rank, promotion, castle, long = found.groups()
     if castle:
         return 6, -1, -1, -1, 0, 2 if long else 1
@@ -248,33 +254,42 @@ def _passing_shown(games, rows):
     return shown
 
 
-def _rights_text(games, rows):
-    """Castling field: KQkq, or the rook's file if a rook further out makes that unclear."""
-    text = np.full((len(rows), 4), "", "U1")
-    for right, (mark, base, outward) in enumerate(
-        [("K", 56, 1), ("Q", 56, -1), ("k", 0, 1), ("q", 0, -1)]
-    ):
-        rook = games.rooks[rows, right].astype(np.intp)
-        has = np.flatnonzero(rook >= 0)
-        text[has, right] = mark
-        inner = has[rook[has] != base + (7 if outward == 1 else 0)]
-        for at in inner:  # only shuffled starts get here
-            rank = games.board[rows[at], base : base + 8]
-            own = np.flatnonzero(rank == (4 if base else -4))
-            file = rook[at] - base
-            if (own > file).any() if outward == 1 else (own < file).any():
-                letter = "abcdefgh"[file]
-                text[at, right] = letter.upper() if base else letter
-    joined = np.char.add(np.char.add(text[:, 0], text[:, 1]), np.char.add(text[:, 2], text[:, 3]))
-    return np.where(joined == "", "-", joined)
-
-
-def _fixed_text(chars):
-    """``uint8[n, width]`` -> Arrow string array without a Python object per row."""
-    rows, width = chars.shape
-    offsets = np.arange(0, (rows + 1) * width, width, dtype=np.int32)
-    data = np.ascontiguousarray(chars)
-    return pa.StringArray.from_buffers(rows, pa.py_buffer(offsets), pa.py_buffer(data))
+def _rights(games, rows, words):
+    """Castling field as an index into ``words``: KQkq, or file letters where unclear."""
+    rooks = games.rooks[rows]
+    code = (rooks >= 0) @ np.array([1, 2, 4, 8])
+    corner = np.array([63, 56, 7, 0], np.int8)
+    for at in np.flatnonzero(((rooks >= 0) & (rooks != corner)).any(1)):  # shuffled starts only
+        word = ""
+        for right in np.flatnonzero(rooks[at] >= 0):
+            base, file = 56 if right < 2 else 0, rooks[at, right] % 8
+            own = np.flatnonzero(games.board[rows[at], base : base + 8] == (4 if base else -4))
+            outer = (own > file).any() if right % 2 == 0 else (own < file).any()
+            letter = "abcdefgh"[file] if outer else "kq"[right % 2]
+            word += letter.upper() if base else letter
+        if word not in words:
+            words.append(word)
+        code[at] = words.index(word)
+    return code
+
+
+def _placement(boards):
+    """Boards -> Arrow strings, ranks from the eighth down, runs of empty squares as digits."""
+    ranks = boards.reshape(-1, 8, 8)
+    empty = ranks == 0
+    last = np.ones_like(empty)
+    last[:, :, :7] = ~empty[:, :, 1:]  # an empty square that ends its run
+    run = np.zeros(ranks.shape, np.uint8)
+    run[:, :, 0] = empty[:, :, 0]
+    for file in range(1, 8):
+        run[:, :, file] = (run[:, :, file - 1] + 1) * empty[:, :, file]
+    chars = np.full((len(ranks), 8, 9), ord("/"), np.uint8)
+    chars[:, :, :8] = np.where(empty, run + ord("0"), MARKS[ranks])
+    keep = np.ones(chars.shape, bool)
+    keep[:, :, :8] = ~empty | last
+    keep[:, 7, 8] = False
+    offsets = np.concatenate([[0], np.cumsum(keep.reshape(len(ranks), -1).sum(1))]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(ranks), pa.py_buffer(offsets), pa.py_buffer(chars[keep]))
 
 
 MOVE = pa.struct(
@@ -285,7 +300,7 @@ MOVE = pa.struct(
         ("promotion", pa.string()),
         ("moved_piece", pa.string()),
         ("color_move", pa.string()),
-        ("board", pa.string()),
+        ("placement", pa.string()),
         ("castling", pa.string()),
         ("passing_square", pa.int32()),
         ("quiet_plies", pa.int32()),
@@ -300,15 +315,16 @@ def fold(sans: pa.Array, positions: pa.Array) -> pa.Array:
     count = len(sans)
     if count == 0:
         return pa.array([], REPLAY)
-    length = np.nan_to_num(sans.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-    first = np.concatenate([[0], np.cumsum(length)[:-1]])
+    given = np.nan_to_num(sans.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
     tokens = sans.flatten().dictionary_encode()
-    codes = tokens.indices.to_numpy(zero_copy_only=False).astype(np.intp)
-    parsed = np.array(
-        [_parse_san(t) for t in tokens.dictionary.to_pylist()] or [(0,) * 6], np.int8
-    )
+    codes = tokens.indices.fill_null(0).to_numpy(zero_copy_only=False).astype(np.intp)
+    parsed = np.array([_parse_san(t) for t in tokens.dictionary.to_pylist()] or [(-1,) * 6], np.int8)
+    is_move = parsed[codes, 0] >= 0 if len(codes) else np.zeros(0, bool)
+    length = np.bincount(np.repeat(np.arange(count), given)[is_move], minlength=count)
+    codes = codes[is_move]
+    first = np.concatenate([[0], np.cumsum(length)[:-1]])
     games = _Games(np.array([p or START for p in positions.to_pylist()]))
-    marks = np.frombuffer(LETTERS.encode(), np.uint8)
+    words = list(RIGHTS)
 
     alive = np.ones(count, bool)
     error = np.full(count, None, object)
@@ -340,7 +356,7 @@ def fold(sans: pa.Array, positions: pa.Array) -> pa.Array:
         for bad in np.flatnonzero(found != 1):
             alive[rows[bad]] = False
             kind = "ambiguous" if found[bad] > 1 else "illegal"
-            error[rows[bad]] = f"{kind} move at ply {ply + 1}: {tokens[int(first[rows[bad]] + ply)]}"
+            error[rows[bad]] = f"{kind} move at ply {ply + 1}: {tokens.dictionary[int(codes[first[rows[bad]] + ply])]}"
         good = np.flatnonzero(found == 1)
         rows, token, start, goal, after = rows[good], token[good], start[good], goal[good], after[good]
         if not len(rows):
@@ -371,8 +387,8 @@ def fold(sans: pa.Array, positions: pa.Array) -> pa.Array:
                 token[:, 4],
                 after[np.arange(len(rows)), goal],
                 side,
-                marks[after],
-                _rights_text(games, rows),
+                after,
+                _rights(games, rows, words),
                 _passing_shown(games, rows),
                 games.quiet[rows],
                 games.turn[rows],
@@ -394,8 +410,8 @@ def fold(sans: pa.Array, positions: pa.Array) -> pa.Array:
                 promoted,
                 pa.array(list(LETTERS)).take(pa.array(moved.astype(np.int64) % 13)),
                 pa.array(["Black", "White"]).take(pa.array((side > 0).astype(np.int64))),
-                _fixed_text(board),
-                pa.array(rights.astype(object), pa.string()),
+                _placement(board),
+                pa.array(words).take(pa.array(rights)),
                 pa.array(np.where(passing >= 0, passing ^ 56, -1).astype(np.int32)),
                 pa.array(quiet),
                 pa.array(turn),

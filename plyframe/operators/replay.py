@@ -7,9 +7,10 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.pandas.types import from_arrow_type
 
-from plyframe.functions.positions import placement, square_name
-from plyframe.functions.text import all_matches, header, header_block, move_block
+from plyframe.functions.positions import square_name
+from plyframe.functions.text import header, header_block, move_block
 from plyframe.operators import board_fold
 
 # Executors receive the fold with the job, so they need no copy of this package.
@@ -18,43 +19,38 @@ cloudpickle.register_pickle_by_value(board_fold)
 # Headers that make the replay start from the header's own position.
 START_HEADERS = ["FEN", "Chess960", "Odds Chess"]
 
-MOVE_TOKEN = (
-    r"[NBKRQ]?[a-h]?[1-8]?[\-x]?[a-h][1-8](?:=?[nbrqkNBRQK])?[+#]?"
-    r"|[O0]-[O0](?:-[O0])?[+#]?|--|Z0|0000|@@@@|[PNBRQK]?@[a-h][1-8]|\(|\)"
-)
+# What separates moves: blanks, comments, glyphs and move numbers.
+BETWEEN_MOVES = r"(?:\s|\{[^}]*+\}|;[^\n]*+|\$\d++|\d++\.++|[!?.]++)+"
 
-_MOVE_TYPE = (
-    "struct<san:string,from_square:int,to_square:int,promotion:string,moved_piece:string,"
-    "color_move:string,board:string,castling:string,passing_square:int,quiet_plies:int,"
-    "turn_number:int>"
-)
+REPLAY = from_arrow_type(board_fold.REPLAY)
 
 
-@arrow_udf(f"struct<error:string,moves:array<{_MOVE_TYPE}>>")
+@arrow_udf(REPLAY)
 def _fold(sans: pa.Array, positions: pa.Array) -> pa.Array:
     return board_fold.fold(sans, positions)
 
 
 def move_tokens(moves: Column) -> Column:
-    """Moves of the main line: comments, move numbers, side lines and result dropped."""
-    plain = F.regexp_replace(F.regexp_replace(moves, r"\{[^}]*\}", " "), r";[^\n]*", " ")
-    tokens = all_matches(plain, MOVE_TOKEN)
-    nesting = F.aggregate(
-        tokens,
+    """Words of the main line, in one pass over the text; side lines are dropped.
+
+    What is no move (the result, stray words) is left for the fold to skip.
+    """
+    words = F.split(moves, BETWEEN_MOVES)
+    spaced = F.split(F.regexp_replace(moves, r"([()])", " $1 "), BETWEEN_MOVES)
+    main_line = F.aggregate(
+        spaced,
         F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept")),
-        lambda state, token: F.struct(
-            F.when(token == "(", state["depth"] + 1)
-            .when(token == ")", F.greatest(state["depth"] - 1, F.lit(0)))
+        lambda state, word: F.struct(
+            F.when(word == "(", state["depth"] + 1)
+            .when(word == ")", F.greatest(state["depth"] - 1, F.lit(0)))
             .otherwise(state["depth"])
             .alias("depth"),
-            F.when(
-                token.isin("(", ")") | (state["depth"] > 0), state["kept"]
-            )
-            .otherwise(F.array_append(state["kept"], token))
+            F.when(word.isin("(", ")") | (state["depth"] > 0), state["kept"])
+            .otherwise(F.array_append(state["kept"], word))
             .alias("kept"),
         ),
     )["kept"]
-    return F.when(F.contains(plain, F.lit("(")), nesting).otherwise(tokens)
+    return F.when(F.contains(moves, F.lit("(")), main_line).otherwise(words)
 
 
 def start_position(game_text: Column) -> Column:
@@ -70,7 +66,7 @@ def position_text(move: Column) -> Column:
     """Render the position of one folded move as text."""
     return F.concat_ws(
         " ",
-        placement(move["board"]),
+        move["placement"],
         F.when(move["color_move"] == "White", "b").otherwise("w"),
         move["castling"],
         square_name(move["passing_square"]),
@@ -117,7 +113,7 @@ def with_replay(games: DataFrame, text: str = "pgn", on_error: str = "keep") ->
                 F.col("replay.error").isNotNull(),
                 F.struct(
                     F.col("replay.error").alias("error"),
-                    F.array().cast(f"array<{_MOVE_TYPE}>").alias("moves"),
+                    F.array().cast(REPLAY["moves"].dataType).alias("moves"),
                 ),
             ).otherwise(F.col("replay")),
         )

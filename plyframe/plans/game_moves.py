@@ -41,10 +41,14 @@ COLUMNS = [
 ]
 
 
-def explode_moves(games: DataFrame, on_error: str = "keep") -> DataFrame:
+def explode_moves(
+    games: DataFrame, on_error: str = "keep", partitions: int | None = None
+) -> DataFrame:
     """Replay each game and pair its moves with the clock notes; the shorter list is padded."""
-    replayed = with_replay(games, on_error=on_error).select(
-        GAME, *FACTS, "pgn_header", "replay.moves", F.col("pgn_clock_extract").alias("clocks")
+    replayed = (
+        with_replay(games.select(GAME, *FACTS, "pgn", "pgn_header", "pgn_clock_extract"), on_error=on_error)
+        .select(GAME, *FACTS, "pgn_header", "replay.moves", F.col("pgn_clock_extract").alias("clocks"))
+        .repartition(*([partitions] if partitions else []), GAME)
     )
     paired = replayed.select(
         GAME,
@@ -88,21 +92,26 @@ def follow_board(moves: DataFrame) -> DataFrame:
     in_order = F.asc_nulls_last("game_move_index")
     number = F.col("color_move_index").cast("string")
     dots = F.when(F.col("color_move") == "White", ". ").otherwise("... ")
-    before = F.lag("fen").over(Window.partitionBy(GAME).orderBy(in_order))
-    after = part(F.col("fen"), " ", 1)
+    by_game = Window.partitionBy(GAME).orderBy(in_order)
+    board = F.col("board")
+    pawns = F.length(board) - F.length(F.replace(F.replace(board, F.lit("P"), F.lit("")), F.lit("p"), F.lit("")))
+    # A letter can only be lost when the pieces or the pawns became fewer.
+    changed = (F.col("men") != F.col("prev_men")) | (F.col("prev_board") == "")
     return (
-        moves.withColumn("numbered", joined(number, dots, F.col("game_move")))
+        moves.withColumn("board", part(F.col("fen"), " ", 1))
+        .withColumns({"numbered": joined(number, dots, F.col("game_move")), **piece_counts(F.col("fen"))})
+        .withColumn("men", F.struct(F.col("major_minor_cnt"), pawns))
         .withColumns(
             {
                 "id": F.concat(GAME, F.lit("_"), F.col("game_move_index").cast("string")),
                 "pgn_cum_move": running_text("numbered", [GAME], in_order),
-                "prev_board": F.coalesce(part(before, " ", 1), F.lit("")),
-                **piece_counts(F.col("fen")),
+                "prev_board": F.coalesce(F.lag("board").over(by_game), F.lit("")),
+                "prev_men": F.lag("men").over(by_game),
             }
         )
         .withColumns(
             {
-                "captured_piece": lost_letter(F.col("prev_board"), after),
+                "captured_piece": F.when(changed, lost_letter(F.col("prev_board"), board)),
                 **phase_ladder(
                     F.col("major_minor_cnt"), F.col("black_major_minor"), F.col("white_major_minor")
                 ),
@@ -111,14 +120,13 @@ def follow_board(moves: DataFrame) -> DataFrame:
     )
 
 
-def prepare_moves(games: DataFrame, on_error: str = "keep", partitions: int | None = None) -> DataFrame:
+def prepare_moves(
+    games: DataFrame, on_error: str = "keep", partitions: int | None = None
+) -> DataFrame:
     """The per-move table.
 
-    The games are hashed by ``game_uuid`` before they expand into moves (bucketed input
-    has that layout already), so a shuffle carries each game once, and every window works
-    inside its partition.  A game is one input row, which bounds its group.
+    The games are hashed by ``game_uuid`` before they expand into moves, so the shuffle
+    carries each game once, and every window works inside its partition.  A game is one
+    input row, which bounds its group.
     """
-    needed = games.select(GAME, *FACTS, "pgn", "pgn_header", "pgn_clock_extract")
-    if partitions:
-        needed = needed.repartition(partitions, GAME)
-    return follow_board(time_moves(explode_moves(needed, on_error))).select(*COLUMNS)
+    return follow_board(time_moves(explode_moves(games, on_error, partitions))).select(*COLUMNS)

@@ -25,8 +25,8 @@ def refresh(
     """Rebuild every table from the player's archives; returns table name -> path.
 
     Each stage is written before the next reads it, so a lost executor costs one stage at
-    most.  Games are hashed by ``game_uuid`` once, into ``buckets`` partitions; the move
-    table and the mart keep that layout and are built without a further shuffle.
+    most.  Games and moves are bucketed alike by ``game_uuid``: the mart groups and joins
+    them without a shuffle.
     """
     configure(spark)
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -45,7 +45,7 @@ def refresh(
     games = spark.table("prep_player_games")
 
     tables.replace_bucketed(
-        prepare_moves(games), "prep_game_moves", "game_uuid", buckets, f"{out}/prep_game_moves"
+        prepare_moves(games, partitions=buckets), "prep_game_moves", "game_uuid", buckets, f"{out}/prep_game_moves"
     )
     moves = spark.table("prep_game_moves")
 
