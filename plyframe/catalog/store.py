@@ -19,18 +19,21 @@ from plyframe.plans.staging import stage_games
 from plyframe.session import checkpoint_dir, configure
 from plyframe.sources import contract
 
-_written: dict[tuple[str, str, str], str] = {}
+_written: set[str] = set()
+
+
+def folder(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Where this session keeps table ``name`` made from the tables of ``sf_dir``."""
+    source = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    return f"{checkpoint_dir(spark)}/plyframe-{spark.sparkContext.applicationId}/{source}/{name}"
 
 
 def _stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    run = spark.sparkContext.applicationId
-    key = (run, sf_dir, name)
-    if key not in _written:
-        folder = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-        path = f"{checkpoint_dir(spark)}/plyframe-{run}/{folder}/{name}"
+    path = folder(spark, sf_dir, name)
+    if path not in _written:
         build().write.mode("overwrite").parquet(path)
-        _written[key] = path
-    return spark.read.parquet(_written[key])
+        _written.add(path)
+    return spark.read.parquet(path)
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:

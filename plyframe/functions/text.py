@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from plyframe.functions.numbers import whole_number
+
 # Formats of the archive and the two sites its links point to.
 HEADER_BREAK = r"\n\n"
 NUMBERED_MOVE = r"\d+\.+ [\S]+"
@@ -18,11 +20,6 @@ def part(text: Column, separator: str, index: int) -> Column:
     return F.try_element_at(F.split(text, separator), F.lit(index))
 
 
-def whole_number(number: Column) -> Column:
-    """Double to int, half to even (a plain cast would cut the fraction off)."""
-    return F.rint(number).cast("int")
-
-
 def joined(*columns: Column) -> Column:
     """Concatenate, skipping NULLs (``F.concat`` instead turns NULL if any part is)."""
     return F.concat_ws("", *columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plyframe.functions.numbers import round_to
 from plyframe.functions.positions import lost_letter, phase_ladder, piece_counts
 from plyframe.functions.text import joined, part
 from plyframe.functions.timing import clock_seconds
@@ -84,7 +85,7 @@ def time_moves(moves: DataFrame) -> DataFrame:
             - F.col("time_control_add_seconds"),
             "prev_clock_interval": F.when(daily, F.lit(0.0)).otherwise(before),
         }
-    ).withColumn("move_time_seconds", F.round(F.when(daily, F.lit(0.0)).otherwise(spent), 1))
+    ).withColumn("move_time_seconds", round_to(F.when(daily, F.lit(0.0)).otherwise(spent), 1))
 
 
 def follow_board(moves: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plyframe.functions.numbers import binned
 from plyframe.operators.aggregates import last_value, pivot_columns
 from plyframe.operators.perspective import both_sides
 
@@ -40,10 +41,6 @@ def game_totals(moves: DataFrame) -> DataFrame:
     )
 
 
-def rating_bin(rating: str) -> Column:
-    return (F.floor(F.col(rating) / 100) * 100).cast("double")
-
-
 def build_games(games: DataFrame, moves: DataFrame) -> DataFrame:
     """Attach the totals to the games and swap them to the player's view.
 
@@ -57,7 +54,7 @@ def build_games(games: DataFrame, moves: DataFrame) -> DataFrame:
         .withColumns(
             {
                 **both_sides(is_white, "white_", "black_", fields),
-                "opponent_rating_bin": rating_bin("opponent_rating"),
+                "opponent_rating_bin": binned(F.col("opponent_rating"), 100),
             }
         )
         .select(*COLUMNS)
