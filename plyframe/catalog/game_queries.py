@@ -81,7 +81,7 @@ def contract_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     problems = contract.with_problems(records, contract.RECORD, contract.text_rule())
-    problem = F.when(F.size("problems") == 0, "valid").otherwise(F.array_join("problems", "; "))
+    problem = F.coalesce(F.nullif("problems", F.lit("")), F.lit("valid"))
     return problems.groupBy(problem.alias("problem")).agg(F.count(F.lit(1)).alias("records"))
 
 

@@ -95,9 +95,7 @@ def contract_split(events: DataFrame) -> DataFrame:
     )
     good, bad = contract.split_valid(contract.with_problems(gaps, EVENT, odd))
     kept = good.agg(F.lit("").alias("problems"), F.count(F.lit(1)).alias("records"))
-    rejected = bad.groupBy(F.array_join("problems", "; ").alias("problems")).agg(
-        F.count(F.lit(1)).alias("records")
-    )
+    rejected = bad.groupBy("problems").agg(F.count(F.lit(1)).alias("records"))
     return kept.unionAll(rejected)
 
 

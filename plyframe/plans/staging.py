@@ -36,9 +36,17 @@ COLUMNS = [
 
 
 def stage_games(raw: DataFrame) -> DataFrame:
-    """Cast and rename; standard games only."""
+    """Cast and rename; standard games only.
+
+    Columns that need neither pass through as they are: an alias per column would make
+    the optimizer restate every constraint on them in all combinations.
+    """
     if dict(raw.dtypes)["end_time"] == "bigint":
         raw = raw.withColumn("end_time", F.timestamp_seconds("end_time"))
-    return raw.filter(F.col("rules") == "chess").select(
-        *[F.col(source[0] if source else name).cast(kind).alias(name) for name, kind, *source in COLUMNS]
-    )
+    kinds = dict(raw.dtypes)
+    columns = []
+    for name, kind, *renamed in COLUMNS:
+        source = renamed[0] if renamed else name
+        plain = kinds[source] == kind and not renamed
+        columns.append(F.col(name) if plain else F.col(source).cast(kind).alias(name))
+    return raw.filter(F.col("rules") == "chess").select(*columns)

@@ -58,21 +58,17 @@ def required_paths(schema: T.StructType, prefix: str = "") -> list[str]:
     return paths
 
 
-def missing_fields(schema: T.StructType) -> Column:
-    """Names of the required fields that are NULL."""
-    return F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(path).isNull(), F.lit(f"{path.replace('`', '')} is required"))
-                for path in required_paths(schema)
-            ]
-        )
-    )
+def rule(broken: Column, message: str) -> Column:
+    """A rule: its message where it is broken, else NULL."""
+    return F.when(broken, F.lit(message))
 
 
-def rule(broken: Column, message: str) -> Column:
-    """A cross-field rule as an array of at most one message."""
-    return F.when(broken, F.array(F.lit(message))).otherwise(F.array().cast("array<string>"))
+def required(schema: T.StructType) -> list[Column]:
+    """One rule per required field."""
+    return [
+        rule(F.col(path).isNull(), f"{path.replace('`', '')} is required")
+        for path in required_paths(schema)
+    ]
 
 
 def text_rule(rules: str = "rules", text: str = "pgn") -> Column:
@@ -84,21 +80,31 @@ def text_rule(rules: str = "rules", text: str = "pgn") -> Column:
 
 
 def with_problems(records: DataFrame, schema: T.StructType, *rules: Column) -> DataFrame:
-    """Add ``problems``, the messages of everything a record breaks."""
-    return records.withColumn("problems", F.concat(missing_fields(schema), *rules))
+    """Add ``problems``: what a record breaks, '' for a valid one."""
+    return records.withColumn("problems", F.concat_ws("; ", *required(schema), *rules))
+
+
+def _kept_here(condition: Column) -> Column:
+    """Keep a wide condition out of constraint inference.
+
+    The optimizer rewrites a filter's condition for every later alias of a column in it:
+    with some twenty columns renamed by ``flatten`` that is 2^20 variants.  A condition
+    that is not deterministic is left where it stands.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, condition)
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records that keep the contract, rejected records with their problems)."""
-    good = F.size("problems") == 0
-    return checked.filter(good).drop("problems"), checked.filter(~good)
+    good = F.col("problems") == ""
+    return checked.filter(_kept_here(good)).drop("problems"), checked.filter(_kept_here(~good))
 
 
 def require_valid(checked: DataFrame) -> DataFrame:
     """Fail the job at the first record that breaks the contract."""
-    message = F.concat(F.lit("record breaks the contract: "), F.array_join("problems", "; "))
-    guard = F.when(F.size("problems") > 0, F.raise_error(message).cast("boolean")).otherwise(True)
-    return checked.filter(guard).drop("problems")
+    message = F.concat(F.lit("record breaks the contract: "), F.col("problems"))
+    valid = F.when(F.col("problems") == "", True).otherwise(F.raise_error(message).cast("boolean"))
+    return checked.filter(_kept_here(valid)).drop("problems")
 
 
 def flatten(records: DataFrame) -> DataFrame:
@@ -118,7 +124,9 @@ def flatten(records: DataFrame) -> DataFrame:
     return records.select(*leaves(records.schema, "", ""))
 
 
-def with_lineage(records: DataFrame, load_id: float) -> DataFrame:
-    """Load id and a content hash, the same when a lost task is run again."""
-    content = F.sha2(F.to_json(F.struct("*")), 256)
-    return records.withColumns({"_dlt_load_id": F.lit(float(load_id)), "_dlt_id": content})
+def with_lineage(
+    records: DataFrame, load_id: float, identity: tuple[str, ...] = ("url", "uuid", "end_time")
+) -> DataFrame:
+    """Load id and a hash of what identifies a record, the same when a lost task is run again."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in identity])
+    return records.withColumns({"_dlt_load_id": F.lit(float(load_id)), "_dlt_id": F.sha2(text, 256)})

@@ -1,0 +1,154 @@
+"""The replay job."""
+
+import pytest
+from games import (
+    GOLDEN_FINAL,
+    GOLDEN_MOVES,
+    MATED,
+    MATED_FINAL,
+    SHUFFLED,
+    SHUFFLED_FINAL,
+    SHUFFLED_START,
+    game_text,
+)
+from pyspark.sql import functions as F
+
+from plyframe.catalog.archive import BLACK_SETUPS, TACTICS, WHITE_SETUPS, sans
+from plyframe.operators.replay import move_tokens, position_lists, position_text, square_text, with_replay
+
+
+def replay(spark, texts, on_error="keep"):
+    games = spark.createDataFrame(list(enumerate(texts)), "id int, pgn string")
+    move = lambda m: F.struct(
+        m["san"].alias("san"), square_text(m).alias("uci"), m["moved_piece"].alias("piece"),
+        m["color_move"].alias("color"), m["from_square"].alias("start"), position_text(m).alias("fen"),
+    )
+    rows = (
+        with_replay(games, on_error=on_error)
+        .select("id", "replay.error", F.transform("replay.moves", move).alias("moves"))
+        .orderBy("id")
+        .collect()
+    )
+    return [(r.error, r.moves) for r in rows]
+
+
+def play(spark, moves, start=None):
+    headers = [("SetUp", "1"), ("FEN", start)] if start else []
+    return replay(spark, [game_text(moves.split(), headers=headers)])[0]
+
+
+def test_whole_games_reach_their_final_board(spark):
+    golden = [m[0] for m in GOLDEN_MOVES]
+    shuffled = game_text(SHUFFLED.split(), headers=[("Variant", "Chess960"), ("FEN", SHUFFLED_START)])
+    got = replay(spark, [game_text(golden), game_text(MATED.split()), shuffled])
+    for (error, moves), sans_given, final in zip(
+        got, [golden, MATED.split(), SHUFFLED.split()], [GOLDEN_FINAL, MATED_FINAL, SHUFFLED_FINAL]
+    ):
+        assert error is None
+        assert [m.san for m in moves] == sans_given
+        assert moves[-1].fen.split(" ")[0] == final
+        assert [m.color for m in moves[:2]] == ["White", "Black"]
+
+
+def test_set_ups_never_touch(spark):
+    texts = []
+    for white in WHITE_SETUPS:
+        for black in BLACK_SETUPS:
+            pairs = zip(sans(white), sans(black))
+            texts.append(game_text([move for pair in pairs for move in pair]))
+    texts += [game_text(sans(t[0])) for t in TACTICS]
+    for (error, moves), text in zip(replay(spark, texts), texts):
+        assert error is None, text
+    for (_, moves), tactic in zip(replay(spark, texts)[-len(TACTICS) :], TACTICS):
+        assert [m.uci for m in moves] == [p.split(":")[1] for p in tactic[0].split()]
+        if tactic[2]:
+            assert moves[-1].fen == tactic[2]
+
+
+def test_boards_stay_sound(spark):
+    golden = [m[0] for m in GOLDEN_MOVES]
+    for _, moves in replay(spark, [game_text(golden), game_text(MATED.split())]):
+        men = 32
+        for move in moves:
+            board = move.fen.split(" ")[0]
+            assert board.count("k") == board.count("K") == 1
+            now = sum(c.isalpha() for c in board)
+            assert men - 1 <= now <= men
+            men = now
+
+
+def test_clocks_rights_and_counters(spark):
+    _, moves = play(spark, "e4 e5 Nf3 Nc6 Bb5 a6 O-O")
+    assert moves[0].fen == "rnbqkbnr/pppppppp/8/8/4P3/8/PPPP1PPP/RNBQKBNR b KQkq - 0 1"
+    assert moves[-1].fen == "r1bqkbnr/1ppp1ppp/p1n5/1B2p3/4P3/5N2/PPPP1PPP/RNBQ1RK1 b kq - 1 4"
+
+
+def test_en_passant_square_only_if_a_capture_is_legal(spark):
+    _, moves = play(spark, "e4 a6 e5 d5 exd6")
+    assert moves[3].fen.split(" ")[3] == "d6"
+    assert moves[0].fen.split(" ")[3] == "-"
+    assert moves[4].fen.split(" ")[0] == "rnbqkbnr/1pp1pppp/p2P4/8/8/8/PPPP1PPP/RNBQKBNR"
+    # The capture would uncover the king along the rank: no square is shown, none is taken.
+    pinned = "8/2p5/8/KP5r/8/8/8/7k b - - 0 1"
+    error, moves = play(spark, "c5 bxc6", pinned)
+    assert moves[0].fen.split(" ")[3] == "-"
+    assert error.startswith("illegal move at ply 2")
+
+
+def test_promotions(spark):
+    _, moves = play(spark, "e4 d5 exd5 c5 dxc6 Nf6 cxb7 Nc6 bxa8=Q")
+    assert moves[-1].uci == "b7a8q" and moves[-1].piece == "Q"
+    error, _ = play(spark, "e4 d5 exd5 c5 dxc6 Nf6 cxb7 Nc6 bxa8")
+    assert error == "illegal move at ply 9: bxa8"
+
+
+def test_a_pinned_piece_needs_no_disambiguation(spark):
+    _, moves = play(spark, "d4 e6 c4 Bb4+ Nc3 Nf6 e3 O-O Ne2")
+    assert moves[-1].uci == "g1e2"
+    error, _ = play(spark, "d4 e6 c4 Nf6 Nc3 Bc5 e3 O-O Ne2")
+    assert error.startswith("ambiguous move at ply 9")
+
+
+def test_castling_needs_rights_and_a_safe_path(spark):
+    error, moves = play(spark, "e4 e5 Ke2 Ke7 Ke1 Ke8 Nf3 Nf6 Be2 Be7 O-O")
+    assert error == "illegal move at ply 11: O-O" and len(moves) == 10
+    error, _ = play(spark, "O-O", "4k3/8/8/8/8/5r2/8/4K2R w K - 0 1")
+    assert error == "illegal move at ply 1: O-O"
+    error, moves = play(spark, "O-O-O", "1r2k3/8/8/8/8/8/8/R3K3 w Q - 0 1")  # b1 may be attacked
+    assert error is None and moves[0].fen.startswith("1r2k3/8/8/8/8/8/8/2KR4 b - -")
+
+
+def test_rights_name_the_file_where_a_rook_stands_further_out(spark):
+    start = "4k3/8/8/8/8/8/7P/1RR1K3 w C - 0 1"
+    _, moves = play(spark, "h3", start)
+    assert moves[0].fen.split(" ")[2] == "C"
+
+
+def test_unplayable_moves_end_the_game_there(spark):
+    bad = game_text("e4 e5 Ke3 Nf6".split())
+    assert [len(m) for _, m in replay(spark, [bad])] == [2]
+    assert replay(spark, [bad], "empty")[0][1] == []
+    with pytest.raises(Exception, match="illegal move at ply 3: Ke3"):
+        replay(spark, [bad], "raise")
+    one_bad = spark.createDataFrame([(0, bad), (1, game_text(["e4"]))], "id int, pgn string")
+    lists = {r.id: r.positions for r in position_lists(one_bad).collect()}
+    assert lists[0] == [] and len(lists[1]) == 1
+
+
+def test_null_and_empty_texts(spark):
+    got = replay(spark, [None, "no blank line", "[Event]\n\n*"])
+    assert got == [(None, None), (None, []), (None, [])]
+
+
+def test_tokens(spark):
+    text = "1. e4! {good} (1. d4 d5 (1... Nf6)) 1... e5 $1 2.Nf3 ; rest\n 2... O-O-O+ 1/2-1/2"
+    words = spark.range(1).select(move_tokens(F.lit(text)).alias("t")).first().t
+    assert [w for w in words if w] == ["e4", "e5", "Nf3", "O-O-O+", "1/2-1/2"]
+
+
+def test_header_position_counts_only_if_named(spark):
+    position = "4k3/8/8/8/8/8/8/4K2R w K - 0 1"
+    _, moves = play(spark, "Rh8+", position)
+    assert moves[0].uci == "h1h8"
+    error, _ = replay(spark, [game_text(["Rh8+"], headers=[("Setup", position)])])[0]
+    assert error == "illegal move at ply 1: Rh8+"
