@@ -26,25 +26,21 @@ def clock_seconds(text: Column) -> Column:
 class Age:
     """Field-wise difference of two timestamps, each field with the sign of the whole."""
 
+    plain: Column  # ordinary difference in seconds
     months: Column
     days: Column
     seconds: Column
 
+    def _short(self) -> Column:
+        """Under 28 days no month passes; most ages end here and skip the calendar."""
+        return F.abs(self.plain) < 28 * DAY
+
     def total_seconds(self) -> Column:
         """A month counts 30 days, twelve of them 365.25 days."""
         months = F.abs(self.months)
         length = F.floor(months / 12) * YEAR + (months % 12) * MONTH + F.abs(self.days) * DAY
-        sign = F.when(
-            (self.months < 0) | (self.days < 0) | (self.seconds < 0), F.lit(-1.0)
-        ).otherwise(F.lit(1.0))
-        return sign * (length.cast("double") + F.abs(self.seconds))
-
-    def as_struct(self) -> Column:
-        return F.struct(
-            self.months.cast("int").alias("months"),
-            self.days.cast("int").alias("days"),
-            self.seconds.alias("seconds"),
-        )
+        calendar = F.signum(self.plain) * (length + F.abs(self.seconds))
+        return F.when(self._short(), self.plain).otherwise(calendar)
 
 
 def calendar_age(end: Column, start: Column) -> Age:
@@ -53,18 +49,19 @@ def calendar_age(end: Column, start: Column) -> Age:
     A negative time of day borrows a day, a negative day borrows the length of the
     earlier timestamp's month.
     """
-    late, early = F.greatest(end, start), F.least(end, start)
-    sign = F.when(end < start, -1).when(end >= start, 1)
 
     def of_day(ts: Column) -> Column:
         return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts).cast("double")
 
+    late, early = F.greatest(end, start), F.least(end, start)
+    sign = F.when(end < start, -1).when(end >= start, 1)
     seconds = of_day(late) - of_day(early)
     borrow_day = (seconds < 0).cast("int")
     days = F.day(late) - F.day(early) - borrow_day
     borrow_month = (days < 0).cast("int")
     months = (F.year(late) - F.year(early)) * 12 + F.month(late) - F.month(early) - borrow_month
     return Age(
+        F.datediff(end, start) * float(DAY) + of_day(end) - of_day(start),
         sign * months,
         sign * (days + borrow_month * F.day(F.last_day(early))),
         sign * (seconds + borrow_day * DAY),

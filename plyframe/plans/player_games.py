@@ -57,17 +57,15 @@ def describe_games(staged: DataFrame, username: str | Column) -> DataFrame:
         .withColumns(
             {
                 "game_analysis_url": tx.analysis_url(c("pgn_move_extract_string"), c("player_color")),
-                **_age_columns(c("game_end_timestamp"), c("game_start_timestamp")),
+                "time_played_interval": c("game_end_timestamp") - c("game_start_timestamp"),
+                "time_played_seconds": tm.calendar_age(
+                    c("game_end_timestamp"), c("game_start_timestamp")
+                ).total_seconds(),
             }
         )
     )
 
 
-def _age_columns(end: Column, start: Column) -> dict[str, Column]:
-    age = tm.calendar_age(end, start)
-    return {"time_played_interval": age.as_struct(), "time_played_seconds": age.total_seconds()}
-
-
 # Columns the per-game table adds to staging, in order.
 ADDED = [
     "time_control_base",
