@@ -379,7 +379,7 @@ def group_by_list(events: DataFrame) -> DataFrame:
 )
 def running_index(conversations: DataFrame) -> DataFrame:
     """Row number per conversation and role; a conversation of any length is split by turns."""
-    chunk = F.floor(F.col("turn") / 4)
+    chunk = F.floor(F.col("turn") / 10_000)
     return windows.running_index_in_chunks(
         conversations.select("conv_id", "turn", "role"), ["conv_id", "role"], ["turn"], chunk, "role_index"
     )
@@ -392,9 +392,9 @@ def running_index(conversations: DataFrame) -> DataFrame:
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 )
 def prev_value_default(events: DataFrame) -> DataFrame:
-    """Value of the user's event before, carried from day to day; signups spend nothing."""
+    """Value of the user's event before, carried from minute to minute; signups spend nothing."""
     rows = windows.previous_in_chunks(
-        events, "value", ["user_id"], ["ts", "event_id"], F.to_date("ts"), F.lit(1500.0), "previous"
+        events, "value", ["user_id"], ["ts", "event_id"], F.date_trunc("minute", "ts"), F.lit(1500.0), "previous"
     )
     spent = F.when(F.col("event_type") == "signup", F.lit(0.0)).otherwise(F.col("previous") - F.col("value"))
     return rows.select("event_id", "user_id", "value", "previous", nb.round_to(spent, 1).alias("spent"))
@@ -411,7 +411,7 @@ def prev_value_default(events: DataFrame) -> DataFrame:
 def lost_letters(conversations: DataFrame) -> DataFrame:
     """First letter that became rarer from one turn to the next."""
     rows = windows.previous_in_chunks(
-        conversations, "text", ["conv_id"], ["turn"], F.floor(F.col("turn") / 4), F.lit(""), "before"
+        conversations, "text", ["conv_id"], ["turn"], F.floor(F.col("turn") / 10_000), F.lit(""), "before"
     )
     return rows.select("conv_id", "turn", ps.lost_letter(F.col("before"), F.col("text")).alias("lost"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plyframe.functions.numbers import whole_number
 
 # Formats of the archive and the two sites its links point to.
-HEADER_BREAK = r"\n\n"
+HEADER_BREAK = "\n\n"
 NUMBERED_MOVE = r"\d+\.+ [\S]+"
 CLOCK_NOTE = r"\{\[%clk \S+\]\}"
 ANALYSIS_SITE = "https://lichess.org/analysis/pgn/"
@@ -54,11 +54,16 @@ def header(text: Column, name: str) -> Column:
 
 
 def header_block(text: Column) -> Column:
-    return part(text, HEADER_BREAK, 1)
+    """What comes before the first blank line."""
+    return F.substring_index(text, HEADER_BREAK, 1)
 
 
 def move_block(text: Column) -> Column:
-    return part(text, HEADER_BREAK, 2)
+    """What stands between the first and the second blank line, NULL if there is none."""
+    until_second = F.substring_index(text, HEADER_BREAK, 2)
+    return F.when(
+        F.contains(text, F.lit(HEADER_BREAK)), F.substring_index(until_second, HEADER_BREAK, -1)
+    )
 
 
 def time_control_base(time_class: Column, time_control: Column) -> Column:

@@ -23,12 +23,16 @@ def numbered_top_rows(df: DataFrame, count: int, alias: str, *order: Column) ->
     )
 
 
-def top_dense_ranks(df: DataFrame, within: list[str], measure: str, places: int, alias: str) -> DataFrame:
+def top_dense_ranks(
+    df: DataFrame, within: list[str], measure: str, places: int, alias: str, few_groups: bool = False
+) -> DataFrame:
     """Rows whose ``measure`` is among the ``places`` greatest distinct ones of their group.
 
     Ties share a place, so all of them stay.  The rank runs over the distinct measures
     only (duplicates fall away before the shuffle), and the surviving ``places`` values per
-    group join back, so a group that holds most rows is not ranked row by row.
+    group join back, so a group that holds most rows is not ranked row by row.  Where the
+    groups are a fixed few (``few_groups``) those values are at most ``places`` times as
+    many, and are broadcast.
     """
     values = df.select(*within, measure).distinct()
     ranked = values.withColumn(
@@ -38,6 +42,8 @@ def top_dense_ranks(df: DataFrame, within: list[str], measure: str, places: int,
     for key in [*within, measure]:
         ranked = ranked.withColumnRenamed(key, f"__{key}")
         condition = condition & df[key].eqNullSafe(F.col(f"__{key}"))
+    if few_groups:
+        ranked = F.broadcast(ranked)
     return df.join(ranked, condition).drop(*[f"__{key}" for key in [*within, measure]])
 
 

@@ -2,8 +2,9 @@
 
 The plain forms use one window per group and suit groups of bounded size (the moves of
 one game).  The ``*_in_chunks`` forms take a ``chunk`` column that grows with the order
-(a day, a thousand turns): a group's rows are then spread over its chunks, and only one
-summary row per chunk meets in the group's window, so one huge group is no hot task.
+(a minute, ten thousand turns): a group's rows are then spread over its chunks, and only
+one summary row per chunk meets in the group's window, so one huge group is no hot task.
+Choose it so that neither a chunk's rows nor a group's chunks are too many for one task.
 """
 
 from __future__ import annotations

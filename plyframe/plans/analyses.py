@@ -181,7 +181,7 @@ def top_openings(games: DataFrame, count: int = 5, places: int = 5) -> DataFrame
     )
     per_opening = Window.partitionBy("player_color", "starting_moves")
     totals = grouped.withColumn("num_games", F.sum("wdl_num_games").over(per_opening))
-    return top_dense_ranks(totals, ["player_color"], "num_games", places, "rn").withColumn(
+    return top_dense_ranks(totals, ["player_color"], "num_games", places, "rn", few_groups=True).withColumn(
         "perc", F.lit(100.0) * F.col("wdl_num_games") / F.col("num_games")
     )
 

@@ -20,49 +20,46 @@ def describe_games(staged: DataFrame, username: str | Column) -> DataFrame:
     """
     player = F.lit(username) if isinstance(username, str) else username
     c = F.col
-    is_white = c("player_color") == "White"
-    return (
-        staged.withColumns(
-            {
-                "time_control_base": tx.time_control_base(c("time_class"), c("time_control")),
-                "time_control_add_seconds": tx.time_control_increment(c("time_class"), c("time_control")),
-                "player_color": F.when(F.lower("white__username") == player, "White").otherwise("Black"),
-                "pgn_header": tx.header_block(c("pgn")),
-                "pgn_moves": tx.move_block(c("pgn")),
-                "eco": tx.header(c("pgn"), "ECO"),
-                "eco_url": tx.header(c("pgn"), "ECOUrl"),
-                "game_start_date": tm.dotted_date(tx.header(c("pgn"), "UTCDate")),
-                "game_start_time": tx.header(c("pgn"), "StartTime"),
-                "game_end_timestamp": c("end_time"),
-            }
-        )
-        .withColumns(
-            {
-                "game_mode": tx.game_mode(c("time_class"), c("time_control"), c("time_control_base")),
-                **both_sides(is_white, "white__", "black__", {"rating": "rating", "result": "result"}),
-                "pgn_move_extract": tx.all_matches(c("pgn_moves"), tx.NUMBERED_MOVE),
-                "pgn_clock_extract": tx.all_matches(c("pgn_moves"), tx.CLOCK_NOTE),
-                "eco_name": F.replace("eco_url", F.lit(tx.OPENING_SITE), F.lit("")),
-                "game_start_timestamp": tm.timestamp_from(c("game_start_date"), c("game_start_time")),
-            }
-        )
-        .withColumns(
-            {
-                "is_stronger_opponent": c("opponent_rating") > c("player_rating"),
-                "player_wdl": outcome(c("player_result"), c("opponent_result")),
-                "player_wdl_reason": outcome_reason(c("player_result"), c("opponent_result")),
-                "pgn_move_extract_string": F.coalesce(tx.list_text(c("pgn_move_extract")), F.lit("")),
-            }
-        )
-        .withColumns(
-            {
-                "game_analysis_url": tx.analysis_url(c("pgn_move_extract_string"), c("player_color")),
-                "time_played_interval": c("game_end_timestamp") - c("game_start_timestamp"),
-                "time_played_seconds": tm.calendar_age(
-                    c("game_end_timestamp"), c("game_start_timestamp")
-                ).total_seconds(),
-            }
-        )
+    base = tx.time_control_base(c("time_class"), c("time_control"))
+    is_white = F.coalesce(F.lower("white__username") == player, F.lit(False))
+    color = F.when(is_white, "White").otherwise("Black")
+    sides = both_sides(is_white, "white__", "black__", {"rating": "rating", "result": "result"})
+    own, other = sides["player_result"], sides["opponent_result"]
+    moves = tx.move_block(c("pgn"))
+    extract = tx.all_matches(moves, tx.NUMBERED_MOVE)
+    extract_text = F.coalesce(tx.list_text(extract), F.lit(""))
+    eco_url = tx.header(c("pgn"), "ECOUrl")
+    start_date = tm.dotted_date(tx.header(c("pgn"), "UTCDate"))
+    start_time = tx.header(c("pgn"), "StartTime")
+    start, end = tm.timestamp_from(start_date, start_time), c("end_time")
+    # One projection over shared expressions: the optimizer computes each of them once,
+    # and no intermediate row is built.
+    return staged.withColumns(
+        {
+            "time_control_base": base,
+            "time_control_add_seconds": tx.time_control_increment(c("time_class"), c("time_control")),
+            "game_mode": tx.game_mode(c("time_class"), c("time_control"), base),
+            "player_color": color,
+            **sides,
+            "is_stronger_opponent": sides["opponent_rating"] > sides["player_rating"],
+            "player_wdl": outcome(own, other),
+            "player_wdl_reason": outcome_reason(own, other),
+            "pgn_header": tx.header_block(c("pgn")),
+            "pgn_moves": moves,
+            "pgn_move_extract": extract,
+            "pgn_clock_extract": tx.all_matches(moves, tx.CLOCK_NOTE),
+            "pgn_move_extract_string": extract_text,
+            "game_analysis_url": tx.analysis_url(extract_text, color),
+            "eco": tx.header(c("pgn"), "ECO"),
+            "eco_url": eco_url,
+            "eco_name": F.replace(eco_url, F.lit(tx.OPENING_SITE), F.lit("")),
+            "game_start_date": start_date,
+            "game_start_time": start_time,
+            "game_start_timestamp": start,
+            "game_end_timestamp": end,
+            "time_played_interval": end - start,
+            "time_played_seconds": tm.calendar_age(end, start).total_seconds(),
+        }
     )
 
 

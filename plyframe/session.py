@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Methods above this size are not compiled by the JVM; split such stages instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Games per Arrow batch of the replay job: large enough to vectorise over, small
     # enough that a batch of boards (64 bytes per move) stays well under 50 MB.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
