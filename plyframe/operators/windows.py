@@ -27,33 +27,36 @@ def running_text(text: str, keys: list[str], order: Column) -> Column:
     return F.listagg(text, F.lit(" ")).over(Window.partitionBy(*keys).orderBy(order))
 
 
-def _with_summary(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach chunk summaries; key columns may be NULL, so compare them null-safely."""
-    right = summary
-    condition = F.lit(True)
-    for key in keys:
-        right = right.withColumnRenamed(key, f"__{key}")
-        condition = condition & df[key].eqNullSafe(F.col(f"__{key}"))
-    return df.join(right, condition).drop(*[f"__{key}" for key in keys])
+def _keyed(df: DataFrame, keys: list[str], chunk: Column) -> DataFrame:
+    """Add ``__key``, group and chunk in one struct.
+
+    A struct is never NULL itself and compares NULL fields as equal, so rows of a NULL key
+    join like any other; and window, group and join share one hash layout.
+    """
+    return df.withColumn("__chunk", chunk).withColumn("__key", F.struct(*keys, "__chunk"))
+
+
+def _along_chunks(keys: list[str]):
+    """The chunks of a group, in order."""
+    key = F.col("__key")
+    return Window.partitionBy(*[key[k] for k in keys]).orderBy(key["__chunk"])
 
 
 def running_index_in_chunks(
     df: DataFrame, keys: list[str], order: list[str], chunk: Column, alias: str
 ) -> DataFrame:
     """Row number per group: number inside the chunk plus the size of the chunks before."""
-    rows = df.withColumn("__chunk", chunk)
-    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = (
-        rows.groupBy(*keys, "__chunk")
-        .agg(F.count(F.lit(1)).alias("__size"))
-        .withColumn("__before", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
-        .drop("__size")
+    rows = _keyed(df, keys, chunk)
+    earlier = _along_chunks(keys).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("__key").agg(F.count(F.lit(1)).alias("__size"))
+    before = sizes.select(
+        "__key", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before")
     )
-    numbered = rows.withColumn("__index", running_index([*keys, "__chunk"], order))
     return (
-        _with_summary(numbered, sizes, [*keys, "__chunk"])
+        rows.withColumn("__index", running_index(["__key"], order))
+        .join(before, "__key")
         .withColumn(alias, F.col("__index") + F.col("__before"))
-        .drop("__index", "__before", "__chunk")
+        .drop("__index", "__before", "__chunk", "__key")
     )
 
 
@@ -67,25 +70,20 @@ def previous_in_chunks(
     alias: str,
 ) -> DataFrame:
     """Value of the row before; a chunk's first row takes the last value of the chunk before."""
-    rows = df.withColumn("__chunk", chunk)
-    inside = Window.partitionBy(*keys, "__chunk").orderBy(*order)
-    lasts = (
-        rows.groupBy(*keys, "__chunk")
-        # wrapped in a struct, so that a last value of NULL is kept as such
-        .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__last"))
-        .withColumn(
-            "__carried", F.lag("__last").over(Window.partitionBy(*keys).orderBy("__chunk"))["v"]
-        )
-        .drop("__last")
-    )
-    lagged = rows.withColumn("__lag", F.lag(value).over(inside)).withColumn(
-        "__first", F.row_number().over(inside) == 1
+    rows = _keyed(df, keys, chunk)
+    inside = Window.partitionBy("__key").orderBy(*order)
+    # The last value is wrapped, so that max_by keeps one that is NULL.
+    lasts = rows.groupBy("__key").agg(
+        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__last")
     )
+    carried = lasts.select("__key", F.lag("__last").over(_along_chunks(keys))["v"].alias("__carried"))
+    first = F.row_number().over(inside) == 1
     return (
-        _with_summary(lagged, lasts, [*keys, "__chunk"])
+        rows.withColumns({"__lag": F.lag(value).over(inside), "__first": first})
+        .join(carried, "__key")
         .withColumn(
             alias,
             F.coalesce(F.when(F.col("__first"), F.col("__carried")).otherwise(F.col("__lag")), default),
         )
-        .drop("__lag", "__first", "__carried", "__chunk")
+        .drop("__lag", "__first", "__carried", "__chunk", "__key")
     )
