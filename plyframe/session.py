@@ -35,10 +35,17 @@ def build_session(app: str = "plyframe", **options: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_fallback: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a fresh local one only where none is set."""
+    """Shared folder named by the cluster; a fresh local one only in local mode without one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        configured = tempfile.mkdtemp(prefix="plyframe-checkpoint-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    if configured is not None:
+        return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    run = spark.sparkContext.applicationId
+    if run not in _fallback:
+        _fallback[run] = tempfile.mkdtemp(prefix="plyframe-checkpoint-", dir="/tmp")
+    return _fallback[run]
