@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from plyframe.llm.shared import prepare, written
 
 SPAN = 100
-GRAM = 20
+GRAM = 32
 SYMBOL = 10
 PIECE = 1 << 20
 PORTION = 2_000_000  # bytes
@@ -60,7 +60,7 @@ def _joined(left: np.ndarray, right: np.ndarray, length: int, n: int) -> np.ndar
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM (20) bytes from each position on."""
+    """Hash of the GRAM bytes from each position on."""
     h = {1: _VALUES[data]}
     size = 1
     while size * 2 <= GRAM:
@@ -209,6 +209,16 @@ def _fetched(marked: DataFrame, firsts: DataFrame) -> DataFrame:
     return marked.join(wanted, ["did", "version"]).select("did", "text", "stretches").mapInArrow(run, "key long, did long, pos long, data binary").dropDuplicates(["did", "pos"])
 
 
+def stable_order(x: np.ndarray) -> np.ndarray:
+    """Stable order of numbers from 0 on, sixteen bits at a time from the lowest."""
+    order = np.argsort((x & 0xFFFF).astype(np.uint16), kind="stable")
+    most, shift = int(x.max(initial=0)), 16
+    while most >> shift:
+        order = order[np.argsort((x[order] >> shift & 0xFFFF).astype(np.uint16), kind="stable")]
+        shift += 16
+    return order
+
+
 class Shard:
     """Burrows-Wheeler transform of some strings of symbols, each string closed by its own end.
 
@@ -221,10 +231,15 @@ class Shard:
         n = len(symbols)
         while (ahead >= 0).any():
             second = np.where(ahead >= 0, rank[ahead], -1) + 1
-            both = rank * (n + int(second.max()) + 2) + second
-            _, rank = np.unique(both, return_inverse=True)
+            order = stable_order(second)
+            order = order[stable_order(rank[order])]
+            first, second = rank[order], second[order]
+            border = np.zeros(n, dtype=bool)
+            border[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+            rank[order] = np.cumsum(border)
             ahead = np.where(ahead >= 0, ahead[ahead], -1)
-        self.rows = np.lexsort((string, rank))
+        order = stable_order(string)
+        self.rows = order[stable_order(rank[order])]
         self.transform = symbols_before(symbols, before)[self.rows]
 
 
@@ -246,7 +261,7 @@ def merge(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray]:
     for _ in range(rounds):
         for k, shard in enumerate(shards):
             symbol[lies == k] = shard.transform
-        order = np.argsort(symbol, kind="stable")
+        order = stable_order(symbol)
         dealt, former = symbol[order], interval[order]
         border = np.ones(len(order), dtype=bool)
         border[1:] = (dealt[1:] != dealt[:-1]) | (former[1:] != former[:-1])
