@@ -26,7 +26,7 @@ from plyframe.llm.shared import prepare
 #: The file's white space is Unicode's; Python's split() has four separators more.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 SPACE = regex.compile(r"\p{White_Space}+")
-HELD_WORDS = 500_000
+HELD_WORDS = 300_000
 HELD_PAIRS = 500_000
 
 

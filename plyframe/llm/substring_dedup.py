@@ -36,8 +36,8 @@ SPAN = 100
 GRAM = 32
 SYMBOL = 10
 PIECE = 1 << 20
-PORTION = 2_000_000  # bytes
-SHARD = 500_000  # bytes
+PORTION = 1_000_000  # bytes
+SHARD = 250_000  # bytes
 HOT = 8_000
 LAST = (1 << 63) - 1
 _MULTIPLIER = 0x9E3779B97F4A7C15
