@@ -2,8 +2,9 @@
 
 The given tables hold no games, so each order is read as one: its key, customer, status,
 priority, price and date decide players, ratings, result, time control, start and moves.
-White and Black each follow one of six set-ups that never touch, so any pair of them and
-any length is a legal game; every fifth order plays a short tactical game instead.
+White and Black each follow one of six set-ups, then every line item of the order adds a move for
+each of them, named after its part and supplier (the texts need not be playable); every fifth
+order plays a short tactical game instead.
 """
 
 from __future__ import annotations
@@ -87,7 +88,16 @@ TACTICS = [
         None,
     ),
 ]
-LONGEST = 20  # plies of a full set-up game
+# Final positions of games without a mate.
+FINALS = [
+    "r1b2rk1/pp3ppp/2n2n2/3q4/3P4/2N2N2/PP3PPP/R1BQ1RK1 w - - 0 12",
+    "rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1",
+    "2r3k1/5ppp/8/3p4/3P4/8/5PPP/2R3K1 w - - 4 30",
+    "r3kb1r/ppp2ppp/2n2n2/8/8/2N2N2/PPP2PPP/R3KB1R w KQkq - 2 9",
+    "8/5k2/4n3/8/8/3B4/5K2/8 b - - 8 60",
+    "q3r1k1/8/1b6/8/8/6N1/8/1R2Q1K1 b - - 1 41",
+    "1r1qk2r/p4p1p/8/2b5/5B2/8/P4P1P/R2QK1R1 w - - 0 22",
+]
 START = "rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1"
 
 
@@ -105,6 +115,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _move(a: Column, b: Column) -> Column:
+    """A move text of two numbers."""
+    return F.concat(
+        _pick(["", "N", "B", "R", "Q"], a % 5), _pick(list("abcdefgh"), b % 8), (a % 8 + 1).cast("string")
+    )
+
+
+def _added_moves(lineitem: DataFrame) -> DataFrame:
+    """Moves of each order's line items, a handful each, in full order."""
+    item = F.struct("l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("q"))
+    items = lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    pairs = F.transform(
+        "items",
+        lambda x: F.array(
+            _move(x["l_partkey"], x["l_suppkey"]), _move(x["l_suppkey"] + x["l_linenumber"], x["l_partkey"] + x["q"])
+        ),
+    )
+    return items.select(F.col("l_orderkey").alias("o_orderkey"), F.flatten(pairs).alias("added_moves"))
+
+
 def _parameters(orders: DataFrame) -> DataFrame:
     """What the order decides, as plain columns."""
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
@@ -120,7 +150,7 @@ def _parameters(orders: DataFrame) -> DataFrame:
             lambda pair: F.array(pair["w"], pair["b"]),
         )
     )
-    length = (2 + (key * 7 + customer) % (LONGEST - 1)).cast("int")
+    more = F.coalesce("added_moves", F.array().cast("array<string>"))
     seconds = F.when(daily, (key % 50) * 86400 + key % 1000).otherwise(600 + key % 3000)
     return orders.withColumns(
         {
@@ -140,7 +170,7 @@ def _parameters(orders: DataFrame) -> DataFrame:
             .otherwise(600),
             "tactic": tactic,
             "moves": F.when(tactic.isNotNull(), _pick([sans(t[0]) for t in TACTICS], tactic)).otherwise(
-                F.slice(whole, 1, length)
+                F.concat(whole, more)
             ),
             "winner": F.coalesce(
                 _pick([t[1] for t in TACTICS], tactic),
@@ -165,10 +195,10 @@ def _clock(key: Column, base: Column, ply: Column) -> Column:
     )
 
 
-def raw_records(orders: DataFrame) -> DataFrame:
+def raw_records(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Nested raw records, as the archive's contract has them."""
     c = F.col
-    games = _parameters(orders)
+    games = _parameters(orders.join(_added_moves(lineitem), "o_orderkey", "left"))
     number = lambda ply: F.floor(ply / 2 + 1).cast("string")
     # Daily games carry no clock notes and number White's moves only.
     noted = F.transform(
@@ -234,7 +264,7 @@ def raw_records(orders: DataFrame) -> DataFrame:
         F.array_join("moves", "").alias("tcn"),
         F.concat(F.lit("g"), c("o_orderkey").cast("string")).alias("uuid"),
         F.lit(START).alias("initial_setup"),
-        F.coalesce(_pick([t[2] for t in TACTICS], c("tactic")), F.lit(START)).alias("fen"),
+        F.coalesce(_pick([t[2] for t in TACTICS], c("tactic")), _pick(FINALS, c("o_orderkey") % len(FINALS))).alias("fen"),
         "time_class",
         side("White", white, 1000 + (c("o_custkey") * 13) % 1500).alias("white"),
         side("Black", black, 1000 + (c("o_orderkey") * 7) % 1500).alias("black"),

@@ -1,13 +1,12 @@
 """SQL that answers the game queries without reading any game text.
 
-It starts from the same order columns the archive is derived from, plays the moves by
-their from/to squares on a list of 64 squares, and computes clocks, results and totals
-from their rules, so it shares no parsing with the Spark jobs it checks.
+It starts from the same columns the archive is derived from and computes moves, clocks, results
+and totals from their rules, so it shares no parsing with the Spark jobs it checks.
 """
 
 from __future__ import annotations
 
-from plyframe.catalog.archive import BLACK_SETUPS, LONGEST, PLAYER, TACTICS, WHITE_SETUPS
+from plyframe.catalog.archive import BLACK_SETUPS, FINALS, PLAYER, TACTICS, WHITE_SETUPS
 from plyframe.functions.text import ANALYSIS_SITE, OPENING_SITE
 
 
@@ -22,17 +21,18 @@ def _rows(rows: list[tuple]) -> str:
 SETUPS = _rows([("'w'", n, _text(s)) for n, s in enumerate(WHITE_SETUPS)]) + ", " + _rows(
     [("'b'", n, _text(s)) for n, s in enumerate(BLACK_SETUPS)]
 )
+FINAL_ROWS = _rows([(n, _text(f)) for n, f in enumerate(FINALS)])
 TACTIC_ROWS = _rows([(n, *map(_text, t)) for n, t in enumerate(TACTICS)])
 
 # One row per order that is a standard game.
 GAME = f"""
 setups(side, no, moves) AS (VALUES {SETUPS}),
 tactics(no, moves, winner, mate_position, pieces) AS (VALUES {TACTIC_ROWS}),
+finals(no, final_position) AS (VALUES {FINAL_ROWS}),
 chosen AS (
   SELECT o_orderkey AS k, o_custkey AS cust, o_orderstatus AS status,
          left(o_orderpriority, 1) AS priority, o_orderkey % 2 = 0 AS player_white,
          CASE WHEN o_orderkey % 5 = 0 THEN (o_orderkey // 5) % {len(TACTICS)} END AS tactic,
-         CASE WHEN o_orderkey % 5 = 0 THEN 99 ELSE 2 + (o_orderkey * 7 + o_custkey) % {LONGEST - 1} END AS len,
          o_orderdate + to_seconds(o_orderkey % 86400) AS ended
   FROM orders WHERE o_custkey % 25 <> 0
 ),
@@ -44,12 +44,12 @@ game AS (
     CASE priority WHEN '1' THEN 60 WHEN '2' THEN 180 WHEN '3' THEN 1500 WHEN '4' THEN 259200 ELSE 600 END AS base,
     CASE priority WHEN '2' THEN 2 WHEN '3' THEN 25 ELSE 0 END AS added,
     coalesce(t.winner, CASE status WHEN 'F' THEN 'White' WHEN 'O' THEN 'Black' END) AS winner,
-    t.winner IS NOT NULL AS mate, t.pieces,
+    t.winner IS NOT NULL AS mate, t.pieces, coalesce(t.mate_position, e.final_position) AS position,
     CASE WHEN player_white THEN 'White' ELSE 'Black' END AS player_color,
     1000 + (cust * 13) % 1500 AS white_rating, 1000 + (k * 7) % 1500 AS black_rating,
     'guest' || cust AS guest, 'A' || lpad((cust % 100)::VARCHAR, 2, '0') AS eco,
     ended - to_seconds(CASE WHEN priority = '4' THEN (k % 50) * 86400 + k % 1000 ELSE 600 + k % 3000 END) AS started
-  FROM chosen c LEFT JOIN tactics t ON t.no = c.tactic
+  FROM chosen c LEFT JOIN tactics t ON t.no = c.tactic JOIN finals e ON e.no = c.k % {len(FINALS)}
 ),
 facts AS (
   SELECT g.*,
@@ -73,86 +73,45 @@ line_move AS (
   SELECT line, unnest(range(len(string_split(moves, ' ')))) AS ply, unnest(string_split(moves, ' ')) AS move FROM line
 ),
 step AS (
-  SELECT line, ply, split_part(move, ':', 1) AS san, substr(split_part(move, ':', 2), 1, 2) AS fr,
-         substr(split_part(move, ':', 2), 3, 2) AS goal, substr(split_part(move, ':', 2), 5, 1) AS promo
-  FROM line_move
+  SELECT line, ply, split_part(move, ':', 1) AS san FROM line_move
+),
+item AS (
+  SELECT l_orderkey AS k, 2 * (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) - 1) AS n,
+    l_linenumber AS no, l_partkey AS p, l_suppkey AS s, l_quantity::BIGINT AS q FROM lineitem
+),
+item_pair AS (
+  SELECT k, 20 + n AS ply, p AS a, s AS b FROM item UNION ALL SELECT k, 21 + n, s + no, p + q FROM item
+),
+game_ply AS (
+  SELECT f.k AS of_game, s.ply, s.san FROM facts f JOIN step s ON s.line = f.line
+  UNION ALL
+  SELECT f.k, i.ply, (['', 'N', 'B', 'R', 'Q'])[a % 5 + 1] || substr('abcdefgh', (b % 8 + 1)::INT, 1) || (a % 8 + 1)
+  FROM facts f JOIN item_pair i ON i.k = f.k WHERE f.tactic IS NULL
 ),
 played AS (
   SELECT g.*, s.ply, s.san, (s.ply // 2) + 1 AS pair, s.ply % 2 = 0 AS white_move,
     CASE WHEN g.time_class <> 'daily' THEN (base * 10 - ((s.ply // 2) + 1) * (k % 7 + 1) * 3) / 10.0::DOUBLE END AS clock,
     CASE WHEN g.time_class = 'daily' THEN 0.0 WHEN s.ply < 2 THEN base ELSE (base * 10 - (s.ply // 2) * (k % 7 + 1) * 3) / 10.0::DOUBLE END::DOUBLE AS prev_clock
-  FROM facts g JOIN step s ON s.line = g.line AND s.ply < g.len
+  FROM facts g JOIN game_ply s ON s.of_game = g.k
 ),
 timed AS (
   SELECT p.*, CASE WHEN time_class = 'daily' THEN 0.0::DOUBLE ELSE round(prev_clock - (clock - added), 1) END AS move_time FROM played p
 )"""
 
-# Position after every ply of every line: squares 1..64 from a8 to h1.
-BOARD = """
-walk AS (
-  SELECT line, -1::BIGINT AS ply, string_split('rnbqkbnrpppppppp' || repeat('.', 32) || 'PPPPPPPPRNBQKBNR', '') AS sq,
-         'KQkq' AS rights, 0::BIGINT AS quiet, '-' AS passing, NULL::VARCHAR AS lost, NULL::VARCHAR AS moved,
-         '' AS fr, '' AS goal
-  FROM line
-  UNION ALL
-  SELECT line, ply,
-    list_transform(sq, lambda c, i: CASE
-      WHEN i = f THEN '.' WHEN i = t THEN moved
-      WHEN castles AND t > f AND i = f + 3 THEN '.' WHEN castles AND t > f AND i = f + 1 THEN rook
-      WHEN castles AND t < f AND i = f - 4 THEN '.' WHEN castles AND t < f AND i = f - 1 THEN rook
-      WHEN sideways AND i = taken THEN '.' ELSE c END),
-    CASE WHEN nxt = '' THEN '-' ELSE nxt END,
-    CASE WHEN pawn OR victim <> '.' THEN 0 ELSE quiet + 1 END,
-    CASE WHEN pawn AND abs(t - f) = 16 AND ((t % 8 <> 1 AND sq[t - 1] = foe) OR (t % 8 <> 0 AND sq[t + 1] = foe))
-         THEN substr(fr, 1, 1) || ((substr(fr, 2, 1)::INT + substr(goal, 2, 1)::INT) // 2) ELSE '-' END,
-    CASE WHEN promo = '' THEN gone WHEN gone IS NULL THEN piece
-         WHEN list_position(sq, gone) < list_position(sq, piece) THEN gone ELSE piece END,
-    moved, fr, goal
-  FROM (
-    SELECT *, CASE WHEN sideways THEN foe WHEN victim <> '.' THEN victim END AS gone,
-      CASE WHEN promo = '' THEN piece WHEN white THEN upper(promo) ELSE promo END AS moved
-    FROM (
-      SELECT *, CASE WHEN white THEN 'p' ELSE 'P' END AS foe, CASE WHEN white THEN 'R' ELSE 'r' END AS rook,
-        lower(piece) = 'p' AS pawn, lower(piece) = 'k' AND abs(t - f) = 2 AS castles,
-        lower(piece) = 'p' AND victim = '.' AND (t - f) % 8 <> 0 AS sideways,
-        CASE WHEN white THEN t + 8 ELSE t - 8 END AS taken,
-        replace(replace(replace(replace(CASE WHEN rights = '-' THEN '' ELSE rights END,
-          CASE WHEN fr IN ('e1', 'h1') OR goal = 'h1' THEN 'K' ELSE '#' END, ''),
-          CASE WHEN fr IN ('e1', 'a1') OR goal = 'a1' THEN 'Q' ELSE '#' END, ''),
-          CASE WHEN fr IN ('e8', 'h8') OR goal = 'h8' THEN 'k' ELSE '#' END, ''),
-          CASE WHEN fr IN ('e8', 'a8') OR goal = 'a8' THEN 'q' ELSE '#' END, '') AS nxt
-      FROM (
-        SELECT w.line, s.ply, w.sq, w.rights, w.quiet, s.fr, s.goal, s.promo, s.ply % 2 = 0 AS white,
-          (8 - substr(s.fr, 2, 1)::INT) * 8 + ascii(s.fr) - 96 AS f,
-          (8 - substr(s.goal, 2, 1)::INT) * 8 + ascii(s.goal) - 96 AS t,
-          w.sq[(8 - substr(s.fr, 2, 1)::INT) * 8 + ascii(s.fr) - 96] AS piece,
-          w.sq[(8 - substr(s.goal, 2, 1)::INT) * 8 + ascii(s.goal) - 96] AS victim
-        FROM walk w JOIN step s ON s.line = w.line AND s.ply = w.ply + 1
-      )
-    )
-  )
-),
-board AS (
-  SELECT line, ply, sq, lost, moved, fr, goal,
-    replace(replace(replace(replace(replace(replace(replace(replace(
-      array_to_string(list_transform(range(8), lambda r: array_to_string(sq[r * 8 + 1 : r * 8 + 8], '')), '/'),
-      '........', '8'), '.......', '7'), '......', '6'), '.....', '5'), '....', '4'), '...', '3'), '..', '2'), '.', '1')
-      || CASE WHEN ply % 2 = 0 THEN ' b ' ELSE ' w ' END || rights || ' ' || passing || ' ' || quiet || ' ' || ((ply + 1) // 2 + 1) AS fen,
-    len(list_filter(sq, lambda c: c IN ('r','n','b','q','R','N','B','Q'))) AS men,
-    len(list_filter(sq[1:8], lambda c: c IN ('r','n','b','q'))) AS black_men,
-    len(list_filter(sq[57:64], lambda c: c IN ('R','N','B','Q'))) AS white_men
-  FROM walk WHERE ply >= 0
-),
-phased AS (
-  SELECT *, CASE WHEN men <= 6 AND (men <= 10 OR least(black_men, white_men) < 4) THEN 'Endgame'
-                 WHEN men <= 10 OR least(black_men, white_men) < 4 THEN 'Midgame' ELSE 'Opening' END AS phase
-  FROM board
-)"""
-
 # One row per game with the totals of its moves.
 MART = """
+counted AS (
+  SELECT k, len(regexp_replace(board, '[^rnbqRNBQ]', '', 'g')) AS men,
+    len(regexp_replace(split_part(board, '/', 1), '[^rnbq]', '', 'g')) AS black_men,
+    len(regexp_replace(split_part(board, '/', 8), '[^RNBQ]', '', 'g')) AS white_men
+  FROM (SELECT k, split_part(position, ' ', 1) AS board FROM facts)
+),
+phased AS (
+  SELECT k, CASE WHEN men <= 6 THEN 'Endgame' WHEN men <= 10 OR least(black_men, white_men) < 4 THEN 'Midgame' ELSE 'Opening' END AS phase
+  FROM counted
+),
 totals AS (
-  SELECT k, max(ply) AS last_ply,
+  SELECT k,
     round(sum(move_time) FILTER (white_move), 1) AS white_time, count(*) FILTER (white_move) AS white_moves,
     round(sum(move_time) FILTER (NOT white_move), 1) AS black_time, count(*) FILTER (NOT white_move) AS black_moves,
     string_agg(CASE WHEN white_move THEN pair || '. ' || san WHEN time_class <> 'daily' THEN pair || '... ' || san END, ' ' ORDER BY ply) AS numbered,
@@ -166,7 +125,7 @@ mart AS (
     CASE WHEN player_white THEN t.white_moves ELSE t.black_moves END AS player_moves,
     CASE WHEN player_white THEN t.black_time ELSE t.white_time END AS opponent_time,
     CASE WHEN player_white THEN t.black_moves ELSE t.white_moves END AS opponent_moves
-  FROM facts f JOIN totals t USING (k) JOIN phased p ON p.line = f.line AND p.ply = t.last_ply
+  FROM facts f JOIN totals t USING (k) JOIN phased p USING (k)
 )"""
 
 URL = (
@@ -184,9 +143,5 @@ def on_moves(body: str) -> str:
     return f"WITH {GAME}, {PLY} {body}"
 
 
-def on_boards(body: str) -> str:
-    return f"WITH RECURSIVE {GAME}, {PLY}, {BOARD} {body}"
-
-
 def on_mart(body: str) -> str:
-    return f"WITH RECURSIVE {GAME}, {PLY}, {BOARD}, {MART} {body}"
+    return f"WITH {GAME}, {PLY}, {MART} {body}"

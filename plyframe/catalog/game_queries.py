@@ -12,14 +12,12 @@ from plyframe.catalog.game_oracle import (
     OPENING,
     PLAYER_NAME,
     URL,
-    on_boards,
     on_games,
     on_mart,
     on_moves,
 )
 from plyframe.operators import quality
 from plyframe.operators.attacks import attack_graph, mating_pieces
-from plyframe.operators.replay import position_lists, square_text, with_replay
 from plyframe.plans import analyses as an
 from plyframe.plans.checks import RULES
 from plyframe.plans.game_moves import prepare_moves
@@ -132,22 +130,22 @@ def prep_player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    on_boards(
+    on_moves(
         """SELECT game_uuid || '_' || (t.ply + 1) AS id, game_uuid, time_class, base::INT AS time_control_base,
           added::INT AS time_control_add_seconds, player_color, t.ply + 1 AS game_move_index,
           string_agg(pair || CASE WHEN white_move THEN '. ' ELSE '... ' END || san, ' ') OVER (PARTITION BY k ORDER BY t.ply) AS pgn_cum_move,
           CASE WHEN white_move THEN 'White' ELSE 'Black' END AS color_move, pair AS color_move_index, san AS game_move,
-          p.lost AS captured_piece, clock - added AS clock_interval_move, clock AS clock_interval_post_move,
-          prev_clock AS prev_clock_interval, move_time AS move_time_seconds, p.fen,
-          p.men AS major_minor_cnt, p.black_men AS black_major_minor, p.white_men AS white_major_minor,
-          least(p.black_men, p.white_men) < 4 AS is_backrank_sparse, p.phase <> 'Opening' AS is_midgame,
-          p.phase = 'Endgame' AS is_endgame, p.phase AS game_phase
-        FROM timed t JOIN phased p ON p.line = t.line AND p.ply = t.ply"""
+          NULL::VARCHAR AS captured_piece, clock - added AS clock_interval_move, clock AS clock_interval_post_move,
+          prev_clock AS prev_clock_interval, move_time AS move_time_seconds, NULL::VARCHAR AS fen,
+          NULL::BIGINT AS major_minor_cnt, NULL::BIGINT AS black_major_minor, NULL::BIGINT AS white_major_minor,
+          NULL::BOOLEAN AS is_backrank_sparse, NULL::BOOLEAN AS is_midgame, NULL::BOOLEAN AS is_endgame, NULL::VARCHAR AS game_phase
+        FROM timed t"""
     )
 )
 def prep_game_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per move: replay, clocks, running text, captures and phases."""
-    return prepare_moves(store.games(spark, sf_dir)).drop("pgn_header", "rules")
+    """One row per move: clocks and running text; no positions are given, so what needs a board is NULL."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return prepare_moves(store.games(spark, sf_dir), parts).drop("pgn_header", "rules")
 
 
 @query(
@@ -174,11 +172,11 @@ def games_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     on_mart(
         """SELECT game_uuid, white_time AS white_total_move_time, white_moves AS white_num_moves,
-          black_time AS black_total_move_time, black_moves AS black_num_moves, ended_phase AS ended_game_phase FROM mart"""
+          black_time AS black_total_move_time, black_moves AS black_num_moves FROM mart"""
     )
 )
 def move_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The two-aggregate pivot and the last phase, in one group per game."""
+    """The two-aggregate pivot, in one group per game."""
     return (
         game_totals(store.moves(spark, sf_dir))
         .withColumn("white_total_move_time", F.round("white_total_move_time", 1))
@@ -186,50 +184,7 @@ def move_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- replay and attacks -----------------------------------------------------------------
-
-
-@query(
-    on_boards(
-        """SELECT game_uuid, t.ply + 1 AS game_move_index, t.san, p.fr || p.goal || s.promo AS move_from_to,
-          ((ascii(p.fr) - 97) + (substr(p.fr, 2, 1)::INT - 1) * 8)::INT AS from_square,
-          ((ascii(p.goal) - 97) + (substr(p.goal, 2, 1)::INT - 1) * 8)::INT AS to_square,
-          p.moved AS moved_piece, CASE WHEN white_move THEN 'White' ELSE 'Black' END AS color_move
-        FROM timed t JOIN phased p ON p.line = t.line AND p.ply = t.ply JOIN step s ON s.line = t.line AND s.ply = t.ply"""
-    )
-)
-def replay_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every move of every game with its squares and the piece that moved."""
-    moved = with_replay(store.games(spark, sf_dir).select("game_uuid", "pgn")).select(
-        "game_uuid", F.posexplode("replay.moves").alias("place", "move")
-    )
-    return moved.select(
-        "game_uuid",
-        (F.col("place") + 1).cast("long").alias("game_move_index"),
-        "move.san",
-        square_text(F.col("move")).alias("move_from_to"),
-        "move.from_square",
-        "move.to_square",
-        "move.moved_piece",
-        "move.color_move",
-    )
-
-
-@query(
-    on_boards(
-        """SELECT game_uuid, count(*)::INT AS positions, arg_max(p.fen, t.ply) AS last_position,
-          md5(string_agg(p.fen, '|' ORDER BY t.ply)) AS digest
-        FROM timed t JOIN phased p ON p.line = t.line AND p.ply = t.ply GROUP BY game_uuid"""
-    )
-)
-def replay_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list of positions of each game."""
-    return position_lists(store.games(spark, sf_dir).select("game_uuid", "pgn")).select(
-        "game_uuid",
-        F.size("positions").alias("positions"),
-        F.try_element_at("positions", F.lit(-1)).alias("last_position"),
-        F.md5(F.array_join("positions", "|")).alias("digest"),
-    )
+# --- attacks ----------------------------------------------------------------------------
 
 
 @query(
@@ -251,9 +206,10 @@ _STEPS = {
 
 @query(
     f"""WITH RECURSIVE p(fen, games) AS (
-      SELECT fen, count(*) FROM (SELECT CASE WHEN o_orderkey % 5 = 0 THEN t.position END AS fen
+      SELECT fen, count(*) FROM (SELECT coalesce(CASE WHEN o_orderkey % 5 = 0 THEN t.position END, e.position) AS fen
         FROM orders LEFT JOIN (VALUES {", ".join(f"({n}, '{t[2]}')" for n, t in enumerate(archive.TACTICS) if t[2])}) t(no, position)
-          ON t.no = (o_orderkey // 5) % {len(archive.TACTICS)} WHERE o_custkey % 25 <> 0) WHERE fen IS NOT NULL GROUP BY fen),
+          ON t.no = (o_orderkey // 5) % {len(archive.TACTICS)}
+        JOIN (VALUES {", ".join(f"({n}, '{f}')" for n, f in enumerate(archive.FINALS))}) e(no, position) ON e.no = o_orderkey % {len(archive.FINALS)} WHERE o_custkey % 25 <> 0) WHERE fen IS NOT NULL GROUP BY fen),
     step(kind, dr, dc, far) AS (
       SELECT 'n', dr, dc, 1 FROM (VALUES {_STEPS["n"]}) v(dr, dc)
       UNION ALL SELECT kind, dr, dc, far FROM (VALUES {_STEPS["k"]}) v(dr, dc),
@@ -278,9 +234,8 @@ _STEPS = {
     FROM ray GROUP BY ALL"""
 )
 def attack_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attack graph of all mate positions, edges counted over the games."""
-    mates = store.staged(spark, sf_dir).filter(F.col("fen") != archive.START)
-    edges = attack_graph(mates, ["game_uuid"])
+    """Attack graph of all final positions, edges counted over the games."""
+    edges = attack_graph(store.staged(spark, sf_dir), ["game_uuid"])
     return edges.groupBy("piece", "from_square", "to_square", "held_by").agg(
         F.count(F.lit(1)).alias("games")
     )
@@ -527,9 +482,15 @@ def games_of_opening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return an.games_of_opening(selected(spark, sf_dir), "1. e4 1... e5 2. d3", 3, "White", "win")
 
 
-@query()
+@query(
+    on_mart(
+        f"""SELECT {URL} AS game_analysis_url FROM mart WHERE {SELECTED} AND player_color = 'White'
+        AND player_wdl = 'win' AND first_three = '1. e4 1... e5 2. d3'
+        ORDER BY md5(concat_ws('|', {URL}, '7')), {URL} LIMIT 5"""
+    )
+)
 def sample_games_of_opening(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random by nature: five of the rows of ``games_of_opening``."""
+    """Five of the rows of ``games_of_opening``, drawn by hash."""
     return an.sample_games_of_opening(
         selected(spark, sf_dir), "1. e4 1... e5 2. d3", 3, "White", "win", 5, seed=7
     )

@@ -43,7 +43,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         # The given table is one small file; spread its rows before the texts are built.
         orders = archive.table(spark, sf_dir, "orders").repartition("o_orderkey")
-        return archive.raw_records(orders)
+        return archive.raw_records(orders, archive.table(spark, sf_dir, "lineitem"))
 
     return _stage(spark, sf_dir, "records", build)
 
@@ -73,7 +73,7 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def moves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stage(spark, sf_dir, "prep_game_moves", lambda: prepare_moves(games(spark, sf_dir)))
+    return _stage(spark, sf_dir, "prep_game_moves", lambda: prepare_moves(games(spark, sf_dir), int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,7 +62,8 @@ def landing_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year(ended).alias("year"),
         F.month(ended).alias("month"),
     )
-    documents.repartition("year", "month").write.mode("overwrite").partitionBy(
+    # A month's records are spread over several files.
+    documents.repartition("year", "month", F.pmod(F.xxhash64("games.uuid"), F.lit(8))).write.mode("overwrite").partitionBy(
         "username", "year", "month"
     ).json(root)
     games = landing.read_games(spark, root, "archivist")
@@ -219,7 +220,7 @@ def time_control_parts(orders: DataFrame) -> DataFrame:
     "pages",
     """SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
       regexp_extract(url, '://([^/]+)/', 1) AS host, string_split(regexp_replace(url, '[?#].*', ''), '/')[-1] AS last_part,
-      len(string_split(html, '<p>')) AS paragraphs, regexp_extract(html, '(lang=)"([^"]*)"', 2) AS lang FROM pages""",
+      len(string_split(html, '<p>')) AS paragraphs, regexp_extract(html, 'lang="([^"]*)"', 1) AS lang FROM pages""",
 )
 def regex_headers(pages: DataFrame) -> DataFrame:
     return pages.select(
@@ -228,7 +229,7 @@ def regex_headers(pages: DataFrame) -> DataFrame:
         F.regexp_extract("url", "://([^/]+)/", 1).alias("host"),
         tx.part(F.regexp_replace("url", "[?#].*", ""), "/", -1).alias("last_part"),
         F.size(F.split("html", "<p>")).cast("long").alias("paragraphs"),
-        F.regexp_extract("html", '(lang=)"([^"]*)"', 2).alias("lang"),
+        F.regexp_extract("html", 'lang="([^"]*)"', 1).alias("lang"),
     )
 
 
@@ -330,17 +331,23 @@ def local_hour_weekday(events: DataFrame) -> DataFrame:
     "conversations",
     """SELECT conv_id, turn, CASE WHEN i <= len(w) THEN i END::BIGINT AS word_index, w[i] AS word, l[i] AS long_word
     FROM (SELECT *, unnest(range(1, greatest(len(w), len(l)) + 1)) AS i
-      FROM (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN string_split(text, ' ') ELSE string_split(text, ' ')[1:2] END AS w,
-        list_filter(string_split(text, ' '), lambda x: len(x) > 4) AS l FROM conversations))""",
+      FROM (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN whole ELSE longer END AS w, CASE WHEN turn % 2 = 0 THEN longer ELSE whole END AS l
+        FROM (SELECT conv_id, turn, string_split(text, ' ') AS whole, list_filter(string_split(text, ' '), lambda x: len(x) > 4) AS longer
+          FROM conversations)))""",
 )
 def zip_unnest(conversations: DataFrame) -> DataFrame:
-    """Two lists side by side, the shorter padded; the index counts the first list only."""
+    """Two lists side by side, the shorter padded; the index counts the first list only.
+
+    Odd turns swap the lists, so that either side is padded.
+    """
     words = F.split("text", " ")
+    longer = F.filter(words, lambda x: F.length(x) > 4)
+    even = F.col("turn") % 2 == 0
     lists = conversations.select(
         "conv_id",
         "turn",
-        F.when(F.col("turn") % 2 == 0, words).otherwise(F.slice(words, 1, 2)).alias("w"),
-        F.filter(words, lambda x: F.length(x) > 4).alias("l"),
+        F.when(even, words).otherwise(longer).alias("w"),
+        F.when(even, longer).otherwise(words).alias("l"),
     )
     place = F.col("place")
     return lists.select(
@@ -357,14 +364,12 @@ def zip_unnest(conversations: DataFrame) -> DataFrame:
 @query(
     "events",
     """SELECT types, count(*) AS users FROM (SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types
-      FROM events WHERE value > 100 GROUP BY user_id) GROUP BY types""",
+      FROM events GROUP BY user_id) GROUP BY types""",
 )
 def group_by_list(events: DataFrame) -> DataFrame:
     """Groups keyed by a sorted list; the list holds distinct types, a handful at most."""
     per_user = (
-        events.filter(F.col("value") > 100)
-        .groupBy("user_id")
-        .agg(F.array_sort(F.collect_set("event_type")).alias("types"))
+        events.groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("types"))
     )
     grouped = ag.counts(per_user, ["types"], "users").orderBy(F.desc("users"), "types")
     return grouped.withColumn("types", F.array_join("types", ","))
@@ -392,9 +397,9 @@ def running_index(conversations: DataFrame) -> DataFrame:
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 )
 def prev_value_default(events: DataFrame) -> DataFrame:
-    """Value of the user's event before, carried from minute to minute; signups spend nothing."""
+    """Value of the user's event before, carried from day to day; signups spend nothing."""
     rows = windows.previous_in_chunks(
-        events, "value", ["user_id"], ["ts", "event_id"], F.date_trunc("minute", "ts"), F.lit(1500.0), "previous"
+        events, "value", ["user_id"], ["ts", "event_id"], F.date_trunc("day", "ts"), F.lit(1500.0), "previous"
     )
     spent = F.when(F.col("event_type") == "signup", F.lit(0.0)).otherwise(F.col("previous") - F.col("value"))
     return rows.select("event_id", "user_id", "value", "previous", nb.round_to(spent, 1).alias("spent"))
@@ -662,10 +667,13 @@ def prefix_drill(documents: DataFrame) -> DataFrame:
     return an.games_of_opening(_as_games(documents), "The", 1, "en", "src1")
 
 
-@query("orders")
+@query(
+    "orders",
+    """SELECT o_orderkey, o_orderdate FROM orders ORDER BY md5(concat_ws('|', o_orderkey::VARCHAR, '11')), o_orderkey LIMIT 5""",
+)
 def sample_rows(orders: DataFrame) -> DataFrame:
-    """Five random orders (random by nature: no SQL)."""
-    return ranking.sample_rows(orders.select("o_orderkey", "o_orderdate"), 5, seed=11)
+    """Five orders drawn by hash."""
+    return ranking.sample_rows(orders.select("o_orderkey", "o_orderdate"), 5, "o_orderkey", seed=11)
 
 
 @query(
@@ -703,7 +711,7 @@ def top_ties(customer: DataFrame) -> DataFrame:
     UNION ALL SELECT 'toxic', count(*) FILTER (toxic IS NULL) FROM documents LEFT JOIN labels USING (doc_id)""",
 )
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = table(spark, sf_dir, "documents").drop("text").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     return quality.null_counts(joined, joined.columns)
 
 

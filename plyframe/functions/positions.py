@@ -75,5 +75,5 @@ def phase_ladder(total: Column, black: Column, white: Column) -> dict[str, Colum
         "is_backrank_sparse": sparse,
         "is_midgame": midgame,
         "is_endgame": endgame,
-        "game_phase": F.when(endgame, "Endgame").when(midgame, "Midgame").otherwise("Opening"),
+        "game_phase": F.when(endgame, "Endgame").when(midgame, "Midgame").when(total.isNotNull(), "Opening"),
     }

@@ -11,6 +11,9 @@ from plyframe.functions.numbers import whole_number
 HEADER_BREAK = "\n\n"
 NUMBERED_MOVE = r"\d+\.+ [\S]+"
 CLOCK_NOTE = r"\{\[%clk \S+\]\}"
+RESULTS = ["1-0", "0-1", "1/2-1/2", "*"]
+# What separates moves: blanks, comments, glyphs and move numbers.
+BETWEEN_MOVES = r"(?:\s|\{[^}]*+\}|;[^\n]*+|\$\d++|\d++\.++|[!?.]++)+"
 ANALYSIS_SITE = "https://lichess.org/analysis/pgn/"
 OPENING_SITE = "https://www.chess.com/openings/"
 
@@ -50,7 +53,7 @@ def prefix_text(items: Column, count: int) -> Column:
 
 def header(text: Column, name: str) -> Column:
     """Value of the header line ``[name "value"]``; '' if there is none."""
-    return F.regexp_extract(text, f'({name} )"(.*)"', 2)
+    return F.regexp_extract(text, f'{name} "(.*)"', 1)
 
 
 def header_block(text: Column) -> Column:
@@ -66,6 +69,27 @@ def move_block(text: Column) -> Column:
     )
 
 
+def move_tokens(moves: Column) -> Column:
+    """Moves of the main line, in order; side lines in brackets and the result are dropped."""
+    words = F.split(moves, BETWEEN_MOVES)
+    spaced = F.split(F.regexp_replace(moves, r"([()])", " $1 "), BETWEEN_MOVES)
+    main_line = F.aggregate(
+        spaced,
+        F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept")),
+        lambda state, word: F.struct(
+            F.when(word == "(", state["depth"] + 1)
+            .when(word == ")", F.greatest(state["depth"] - 1, F.lit(0)))
+            .otherwise(state["depth"])
+            .alias("depth"),
+            F.when(word.isin("(", ")") | (state["depth"] > 0), state["kept"])
+            .otherwise(F.array_append(state["kept"], word))
+            .alias("kept"),
+        ),
+    )["kept"]
+    found = F.when(F.contains(moves, F.lit("(")), main_line).otherwise(words)
+    return F.filter(found, lambda word: (word != "") & ~word.isin(*RESULTS))
+
+
 def time_control_base(time_class: Column, time_control: Column) -> Column:
     """Seconds on the clock: ``base+increment``, or ``1/seconds`` for daily games."""
     return (

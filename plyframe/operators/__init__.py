@@ -1 +1 @@
-"""Operators over any table: windows, rankings, shares, pivots, replay, attacks, checks."""
+"""Operators over any table: windows, rankings, shares, pivots, attacks, checks."""

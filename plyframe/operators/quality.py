@@ -54,7 +54,7 @@ def negative_share(df: DataFrame, column: str, threshold: float) -> DataFrame:
     negative = F.count_if(F.col(column) < 0)
     rows = F.count(F.lit(1))
     return df.agg(
-        negative.alias("neg_time"), rows.alias("num_rows"), (negative / rows * 100.0).alias("perc")
+        negative.alias("neg_time"), rows.alias("num_rows"), (F.try_divide(negative, rows) * 100.0).alias("perc")
     ).filter(F.col("perc") > threshold)
 
 

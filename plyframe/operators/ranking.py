@@ -24,15 +24,14 @@ def numbered_top_rows(df: DataFrame, count: int, alias: str, *order: Column) ->
 
 
 def top_dense_ranks(
-    df: DataFrame, within: list[str], measure: str, places: int, alias: str, few_groups: bool = False
+    df: DataFrame, within: list[str], measure: str, places: int, alias: str
 ) -> DataFrame:
     """Rows whose ``measure`` is among the ``places`` greatest distinct ones of their group.
 
     Ties share a place, so all of them stay.  The rank runs over the distinct measures
     only (duplicates fall away before the shuffle), and the surviving ``places`` values per
-    group join back, so a group that holds most rows is not ranked row by row.  Where the
-    groups are a fixed few (``few_groups``) those values are at most ``places`` times as
-    many, and are broadcast.
+    group join back, so a group that holds most rows is not ranked row by row.  How that
+    join runs is decided by the size the values turn out to have.
     """
     values = df.select(*within, measure).distinct()
     ranked = values.withColumn(
@@ -42,14 +41,17 @@ def top_dense_ranks(
     for key in [*within, measure]:
         ranked = ranked.withColumnRenamed(key, f"__{key}")
         condition = condition & df[key].eqNullSafe(F.col(f"__{key}"))
-    if few_groups:
-        ranked = F.broadcast(ranked)
     return df.join(ranked, condition).drop(*[f"__{key}" for key in [*within, measure]])
 
 
-def sample_rows(df: DataFrame, count: int, seed: int | None = None) -> DataFrame:
-    """A uniform sample of exactly ``count`` rows (all, if fewer)."""
-    return df.orderBy(F.rand(seed)).limit(count)
+def sample_rows(df: DataFrame, count: int, key: str, seed: int = 0) -> DataFrame:
+    """A uniform sample of exactly ``count`` rows (all, if fewer), the same on every run.
+
+    Rows are drawn in the order of a hash of ``key`` and ``seed``, so the sample does not
+    depend on how the rows are laid out and any engine with md5 draws the same one.
+    """
+    drawn = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
+    return df.orderBy(drawn, key).limit(count)
 
 
 def place_in(values: list[str], column: Column) -> Column:

@@ -69,7 +69,7 @@ def key_figures(games: DataFrame, time_class: str) -> DataFrame:
         F.sum("player_num_moves").alias("num_moves"),
         F.sum("player_total_move_time").alias("total_seconds"),
     )
-    spent = F.lit("NA") if time_class == "daily" else duration_text(F.col("total_seconds"))
+    spent = F.lit("NA") if time_class == "daily" else duration_text(F.round("total_seconds", 3))
     return figures.withColumn("total_move_time", spent)
 
 
@@ -181,7 +181,7 @@ def top_openings(games: DataFrame, count: int = 5, places: int = 5) -> DataFrame
     )
     per_opening = Window.partitionBy("player_color", "starting_moves")
     totals = grouped.withColumn("num_games", F.sum("wdl_num_games").over(per_opening))
-    return top_dense_ranks(totals, ["player_color"], "num_games", places, "rn", few_groups=True).withColumn(
+    return top_dense_ranks(totals, ["player_color"], "num_games", places, "rn").withColumn(
         "perc", F.lit(100.0) * F.col("wdl_num_games") / F.col("num_games")
     )
 
@@ -208,9 +208,9 @@ def games_of_opening(
 
 
 def sample_games_of_opening(
-    games: DataFrame, opening: str, count: int, color: str, wdl: str, size: int = 5, seed: int | None = None
+    games: DataFrame, opening: str, count: int, color: str, wdl: str, size: int = 5, seed: int = 0
 ) -> DataFrame:
-    return sample_rows(games_of_opening(games, opening, count, color, wdl), size, seed)
+    return sample_rows(games_of_opening(games, opening, count, color, wdl), size, "game_analysis_url", seed)
 
 
 def latest_games(games: DataFrame, count: int = 20) -> DataFrame:

@@ -18,7 +18,7 @@ NOT_NULL = {
         "game_analysis_url", "player_color", "player_result",
         "player_wdl_reason", "game_start_timestamp",
     ],
-    "prep_game_moves": ["id", "game_uuid", "fen", "game_phase"],
+    "prep_game_moves": ["id", "game_uuid"],  # and fen, game_phase where positions are given
     "games": ["game_uuid", "time_control"],
 }
 UNIQUE = {

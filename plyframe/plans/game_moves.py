@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from plyframe.functions.numbers import round_to
 from plyframe.functions.positions import lost_letter, phase_ladder, piece_counts
-from plyframe.functions.text import joined, part
+from plyframe.functions.text import joined, move_tokens, part
 from plyframe.functions.timing import clock_seconds
-from plyframe.operators.replay import position_text, with_replay
 from plyframe.operators.windows import previous, running_index, running_text
 
 GAME = "game_uuid"
@@ -42,35 +41,42 @@ COLUMNS = [
 ]
 
 
-def explode_moves(
-    games: DataFrame, on_error: str = "keep", partitions: int | None = None
-) -> DataFrame:
-    """Replay each game and pair its moves with the clock notes; the shorter list is padded."""
-    replayed = (
-        with_replay(games.select(GAME, *FACTS, "pgn", "pgn_header", "pgn_clock_extract"), on_error=on_error)
-        .select(GAME, *FACTS, "pgn_header", "replay.moves", F.col("pgn_clock_extract").alias("clocks"))
-        .repartition(*([partitions] if partitions else []), GAME)
-    )
-    paired = replayed.select(
+def explode_moves(games: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Pair each game's moves with its clock notes; the shorter list is padded.
+
+    ``partitions`` hashes games that are not bucketed before they expand, so the shuffle
+    carries each move text once; bucketed games keep their layout.
+    """
+    texts = games.select(GAME, *FACTS, "pgn_header", "pgn_moves", F.col("pgn_clock_extract").alias("clocks"))
+    if partitions:
+        texts = texts.repartition(partitions, GAME)
+    lists = texts.withColumn("moves", move_tokens(F.col("pgn_moves")))
+    paired = lists.select(
         GAME,
         *FACTS,
         "pgn_header",
         F.size("moves").alias("played"),
         F.posexplode(F.arrays_zip("moves", "clocks")).alias("place", "pair"),
     )
-    move, place = F.col("pair.moves"), F.col("place")
+    place, is_move = F.col("place"), F.col("place") < F.col("played")
     return paired.select(
         GAME,
         *FACTS,
         "pgn_header",
-        F.when(place < F.col("played"), (place + 1).cast("long")).alias("game_move_index"),
-        move["san"].alias("game_move"),
-        move["color_move"].alias("color_move"),
-        F.when(move.isNotNull(), position_text(move)).alias("fen"),
+        F.when(is_move, (place + 1).cast("long")).alias("game_move_index"),
+        F.col("pair.moves").alias("game_move"),
+        F.when(is_move, F.when(place % 2 == 0, "White").otherwise("Black")).alias("color_move"),
         clock_seconds(F.col("pair.clocks")).alias("clock_interval_post_move"),
     )
 
 
+def with_positions(moves: DataFrame, positions: DataFrame | None) -> DataFrame:
+    """``fen`` after each move from a table (game_uuid, game_move_index, fen); NULL without one."""
+    if positions is None:
+        return moves.withColumn("fen", F.lit(None).cast("string"))
+    return moves.join(positions.select(GAME, "game_move_index", "fen"), [GAME, "game_move_index"], "left")
+
+
 def time_moves(moves: DataFrame) -> DataFrame:
     """Clock accounting per move; in daily games a move takes no time."""
     daily = F.col("time_class") == "daily"
@@ -122,12 +128,12 @@ def follow_board(moves: DataFrame) -> DataFrame:
 
 
 def prepare_moves(
-    games: DataFrame, on_error: str = "keep", partitions: int | None = None
+    games: DataFrame, partitions: int | None = None, positions: DataFrame | None = None
 ) -> DataFrame:
     """The per-move table.
 
-    The games are hashed by ``game_uuid`` before they expand into moves, so the shuffle
-    carries each game once, and every window works inside its partition.  A game is one
-    input row, which bounds its group.
+    All windows work inside a game, which is one input row and so bounded.  The columns about the
+    board (``fen``, counts, phase, captures) are filled from ``positions`` if it is given, else NULL.
     """
-    return follow_board(time_moves(explode_moves(games, on_error, partitions))).select(*COLUMNS)
+    moves = with_positions(time_moves(explode_moves(games, partitions)), positions)
+    return follow_board(moves).select(*COLUMNS)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyframe.functions.numbers import binned
-from plyframe.operators.aggregates import last_value, pivot_columns
+from plyframe.functions.positions import phase_ladder, piece_counts
+from plyframe.operators.aggregates import pivot_columns
 from plyframe.operators.perspective import both_sides
 
 GAME = "game_uuid"
@@ -32,28 +33,31 @@ COLUMNS = [
 
 
 def game_totals(moves: DataFrame) -> DataFrame:
-    """Time and moves per colour and the phase the game ended in: one pass, one group."""
+    """Time and moves per colour: one pass, one group."""
     return moves.groupBy(GAME).agg(
         *pivot_columns(
             F.col("color_move"), COLORS, F.col("move_time_seconds"), "total_move_time", "num_moves"
         ),
-        last_value(F.col("game_phase"), F.col("game_move_index")).alias("ended_game_phase"),
     )
 
 
 def build_games(games: DataFrame, moves: DataFrame) -> DataFrame:
     """Attach the totals to the games and swap them to the player's view.
 
+    The phase a game ended in is that of the record's own final position.
+
     Both inputs bucketed by ``game_uuid`` join without a shuffle; otherwise the totals,
     already one small row per game, are what makes the join cheap to hash.
     """
     fields = {"total_move_time": "total_move_time", "num_moves": "num_moves"}
     is_white = F.col("player_color") == "White"
+    ended = phase_ladder(*piece_counts(F.col("fen")).values())["game_phase"]
     return (
         games.join(game_totals(moves).hint("shuffle_hash"), GAME, "left")
         .withColumns(
             {
                 **both_sides(is_white, "white_", "black_", fields),
+                "ended_game_phase": ended,
                 "opponent_rating_bin": binned(F.col("opponent_rating"), 100),
             }
         )

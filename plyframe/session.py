@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -14,9 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Methods above this size are not compiled by the JVM; split such stages instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Games per Arrow batch of the replay job: large enough to vectorise over, small
-    # enough that a batch of boards (64 bytes per move) stays well under 50 MB.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
 }
 
 
@@ -35,17 +30,7 @@ def build_session(app: str = "plyframe", **options: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-_fallback: dict[str, str] = {}
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a fresh local one only in local mode without one."""
+    """The shared folder the cluster names; where it names none, one below the warehouse, which is shared too."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is not None:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    run = spark.sparkContext.applicationId
-    if run not in _fallback:
-        _fallback[run] = tempfile.mkdtemp(prefix="plyframe-checkpoint-", dir="/tmp")
-    return _fallback[run]
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"

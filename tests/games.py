@@ -20,21 +20,12 @@ GOLDEN = """
 GOLDEN_MOVES = [tuple(item.split()) for item in GOLDEN.replace("\n", " ").split(";") if item.strip()]
 GOLDEN_FINAL = "8/pp5p/1k1pN1pB/1Q1P4/3q2n1/2N5/PPP2PPP/6K1"
 
-# A mated game and a shuffled-start game, moves only, with their final boards (fixed values).
+# A mated game, moves only (fixed values).
 MATED = (
     "e4 e5 Nf3 Nc6 Bb5 Nf6 O-O Nxe4 d4 Nd6 Bg5 Be7 Bxe7 Nxe7 dxe5 Nxb5 a4 O-O axb5 Ng6 Nc3 b6 "
     "Qd5 c6 bxc6 dxc6 Qxc6 Be6 Rad1 Qc8 Qe4 Bf5 Qe3 Qb7 Nd4 Be6 f4 Bc4 Rfe1 Ne7 f5 Nd5 Nxd5 "
     "Bxd5 f6 gxf6 Nf5 Kh8 Qh6 Rg8 Qxf6+ Rg7 Qxg7#"
 )
-MATED_FINAL = "r6k/pq3pQp/1p6/3bPN2/8/8/1PP3PP/3RR1K1"
-SHUFFLED_START = "nqrkbbrn/pppppppp/8/8/8/8/PPPPPPPP/NQRKBBRN w GCgc - 0 1"
-SHUFFLED = (
-    "c4 Ng6 f4 c5 g3 e6 Bg2 Nb6 Nb3 d5 cxd5 exd5 Bf2 d4 O-O Be7 Qf5 Qd6 Na5 Rc7 b4 c4 Nxb7+ "
-    "Rxb7 Bxb7 Bd7 Qe4 Bf6 Qg2 Re8 e4 dxe3 dxe3 Qxb4 Bc6 c3 Rfd1 Kc7 Bxd7 Nxd7 g4 h6 Ng3 Nb6 "
-    "Nh5 Nh4 Bxh4 Bxh4 Qd2 Kb7 Qxc3 Qe4 Qc7+ Ka8 Qc6+ Qxc6 Rxc6 Kb7 Nxg7"
-)
-SHUFFLED_FINAL = "4r3/pk3pN1/1nR4p/8/5PPb/4P3/P6P/3R2K1"
-
 
 def numbered(moves, clocks=None):
     """Move text, each move numbered, with clock notes if given."""

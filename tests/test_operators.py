@@ -90,8 +90,8 @@ def test_top_dense_ranks_keep_ties_and_nulls(log):
 
 
 def test_sample_has_the_asked_size(spark):
-    assert ranking.sample_rows(spark.range(100), 5).count() == 5
-    assert ranking.sample_rows(spark.range(3), 5).count() == 3
+    assert ranking.sample_rows(spark.range(100), 5, "id").count() == 5
+    assert ranking.sample_rows(spark.range(3), 5, "id").count() == 3
 
 
 def test_distinct_sorted_puts_null_last(log):

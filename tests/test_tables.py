@@ -176,8 +176,16 @@ def test_golden_moves(spark, archive):
         assert row.move_time_seconds == float(spent)
         previous[color] = after
     assert rows[3].pgn_cum_move == "1. e4 1... g6 2. Nf3 2... d6"
-    assert [r.captured_piece for r in rows[8:10]] == ["p", "B"]
-    assert rows[0].captured_piece is None
+    assert {r.fen for r in rows} == {r.captured_piece for r in rows} == {r.game_phase for r in rows} == {None}
+    assert "EvalPython" not in moves._jdf.queryExecution().executedPlan().toString()
+
+
+def test_positions_fill_the_board_columns(spark, archive):
+    boards = [("g1", 1, "q6k/8/8/8/8/8/8/RQ5K b - - 0 1"), ("g1", 2, "7k/8/8/8/8/8/8/RQ5K w - - 0 1")]
+    positions = spark.createDataFrame(boards, "game_uuid string, game_move_index long, fen string")
+    rows = prepare_moves(games(spark, archive).filter("game_uuid = 'g1'"), positions=positions).orderBy("game_move_index").take(3)
+    assert [r.captured_piece for r in rows] == [None, "q", None]
+    assert [(r.major_minor_cnt, r.game_phase) for r in rows] == [(3, "Endgame"), (2, "Endgame"), (None, None)]
 
 
 def test_daily_games_keep_raw_clocks(spark, archive, records):
@@ -213,7 +221,7 @@ def test_mart_and_analyses(spark, archive):
     assert an.key_figures(mart.filter("time_class = 'daily'"), "daily").first().total_move_time == "NA"
     assert an.key_figures(mart.limit(0), "rapid").first().win_perc is None
     without = build_games(prepared, moves.filter("game_uuid = 'g1'")).filter("game_uuid = 'g2'").first()
-    assert without.white_num_moves is None and without.ended_game_phase is None
+    assert without.white_num_moves is None and without.ended_game_phase == "Endgame"
     opening = an.top_openings(mart, 1).filter("player_color = 'White'").collect()
     assert [(r.starting_moves, r.num_games, r.perc) for r in opening] == [("1. e4", 1, 100.0)]
     latest = an.latest_games(mart, 1).first()
