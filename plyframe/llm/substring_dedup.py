@@ -410,10 +410,10 @@ def dedupe_bytes(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession, 64)
     firsts = found.where("key is not null")
     hot = written(firsts.groupBy("key").count().where(F.col("count") > HOT).select("key"), "substrings-hot")
-    fetched = _fetched(marked, firsts)
+    fetched = written(_fetched(marked, firsts), "substrings-stretches")  # both ways below read it
     gone = found.where("key is null").select("did", "pos").unionByName(_by_transforms(fetched.join(hot, "key", "left_anti")))
     if not hot.isEmpty():
-        gone = gone.unionByName(_by_hashes(_fetched(marked, firsts.join(hot, "key", "left_semi"))))
+        gone = gone.unionByName(_by_hashes(fetched.join(hot, "key", "left_semi")))
     per_document = gone.groupBy("did", F.shiftright("pos", 40).alias("version")).agg(F.collect_list("pos").alias("gone"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
