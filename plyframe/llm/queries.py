@@ -89,7 +89,7 @@ SQL: dict[str, str] = {
         WITH codes AS (SELECT DISTINCT vec_id, [x > 0 FOR x IN embedding] AS code FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
         pairs AS (
             SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-                   CAST(len(list_filter(list_zip(q.code, c.code), x -> x[1] <> x[2])) AS INTEGER) AS distance
+                   CAST(len(list_filter(list_zip(q.code, c.code), lambda x: x[1] <> x[2])) AS INTEGER) AS distance
             FROM codes q, codes c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
         ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank FROM pairs)
         SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= 10""",
