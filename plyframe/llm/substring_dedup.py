@@ -7,7 +7,8 @@ or earlier in the same one.
    Equal windows have equal anchors at equal places, so windows only need comparing where their
    anchors agree.  Consecutive windows with one anchor are one stretch; a document sends a row (anchor's
    hash, stretch's hash, where) for each.
-2. Rows are sorted by anchor and stretch.  Anchors that occur once are dropped.  Of equal stretches
+2. Of equal stretches that one task meets, only the earliest is sent to be compared, so that a passage of very
+   many documents is no hot key.  Rows are sorted by anchor and stretch.  Anchors that occur once are dropped.  Of equal stretches
    all but the first are repeats as a whole.  The first ones of anchors with different stretches are left.
 3. The bytes of those are fetched, and tasks take them in portions of whole anchors.  A portion is cut into
    shards; each shard's Burrows-Wheeler transform is built by itself, and the transforms are merged by
@@ -39,6 +40,8 @@ PIECE = 1 << 20
 PORTION = 1_000_000  # bytes
 SHARD = 250_000  # bytes
 HOT = 8_000
+KNOWN = 20_000  # stretches a task remembers
+TEXTS = 64  # documents a task takes at once
 LAST = (1 << 63) - 1
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _PLACE = np.uint64((1 << 21) - 1)
@@ -116,14 +119,49 @@ def _documents(docs: DataFrame) -> DataFrame:
     )
 
 
+class Met:
+    """Stretches that a task met more than once, with their earliest place; forgets all of them beyond KNOWN.
+
+    What it tells apart saves the shuffle of very common stretches: a task sends one of each to be compared.
+    """
+
+    def __init__(self) -> None:
+        self.places: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def repeats(self, key: np.ndarray, content: np.ndarray, did: np.ndarray, pos: np.ndarray) -> np.ndarray:
+        """Rows with an equal stretch at an earlier place, in these rows or in ones met before."""
+        order = np.lexsort((pos, did, content, key))
+        k, c, d, p = key[order], content[order], did[order], pos[order]
+        new = np.ones(len(k), dtype=bool)
+        new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
+        first = np.nonzero(new)[0]
+        group = np.cumsum(new) - 1
+        later = (d != d[first][group]) | (p != p[first][group])  # a repeated row is no later place
+        if self.places:
+            known = np.fromiter((x[1] for x in self.places), dtype=np.int64, count=len(self.places))
+            for i in first[np.isin(c[first], known)].tolist():
+                at, own = (int(k[i]), int(c[i])), (int(d[i]), int(p[i]))
+                if self.places.get(at, own) < own:
+                    later[i] = True
+                elif at in self.places:
+                    self.places[at] = own
+        if len(self.places) > KNOWN:
+            self.places.clear()
+        for i in first[np.diff(first, append=len(k)) > 1].tolist():
+            self.places.setdefault((int(k[i]), int(c[i])), (int(d[i]), int(p[i])))
+        out = np.empty(len(k), dtype=bool)
+        out[order] = later
+        return out
+
+
 def _rows(marked: DataFrame) -> DataFrame:
-    """A row per stretch (key, content, did, pos); stretches a document repeats itself have a null key."""
+    """A row per stretch (key, content, did, pos); those with an equal one earlier in the task have a null key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
-        for batch in batches:
-            keys, contents, ids, places, known = [], [], [], [], []
-            texts = batch.column("text").cast(pa.binary())
+        digest, met = xxhash.xxh3_64_intdigest, Met()
+        for batch in (whole.slice(at, TEXTS) for whole in batches for at in range(0, whole.num_rows, TEXTS)):
+            keys, contents, ids, places = [], [], [], []
+            texts = batch.column("text").cast(pa.large_binary())
             for did, version, text in zip(batch.column("did").to_pylist(), batch.column("version").to_pylist(), texts, strict=True):
                 data = text.as_py()
                 if len(data) < SPAN:
@@ -131,15 +169,13 @@ def _rows(marked: DataFrame) -> DataFrame:
                 start, count, key = stretches(data)
                 stop = start + count + (SPAN - 1)
                 content = np.array([digest(data[s:e]) for s, e in zip(start.tolist(), stop.tolist(), strict=True)], dtype=np.uint64)
-                _, first = np.unique(content, return_index=True)
-                new = np.zeros(len(content), dtype=bool)
-                new[first] = True
-                keys.append(key.view(np.int64)), contents.append(content.view(np.int64)), known.append(~new)
+                keys.append(key.view(np.int64)), contents.append(content.view(np.int64))
                 places.append(_packed(version, start, count)), ids.append(np.full(len(start), did, dtype=np.int64))
             if keys:
+                columns = [np.concatenate(x) for x in (keys, contents, ids, places)]
+                repeat = met.repeats(*columns)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys), mask=np.concatenate(known)), *(pa.array(np.concatenate(x)) for x in (contents, ids, places))],
-                    names=["key", "content", "did", "pos"],
+                    [pa.array(columns[0], mask=repeat), *map(pa.array, columns[1:])], names=["key", "content", "did", "pos"]
                 )
 
     return marked.mapInArrow(run, "key long, content long, did long, pos long")
@@ -150,13 +186,21 @@ def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Holds one row between batches, the first of a key that has shown one content so far.
     """
-    last_key = last_content = None
+    last_key = last_content = last_place = None
     several, held = False, None
     for batch in batches:
-        n = batch.num_rows
-        if not n:
+        if not batch.num_rows:
             continue
         key, content, did, pos = (batch.column(i).to_numpy() for i in range(4))
+        # Rows of repeated documents are the same place, not a later one.
+        other = np.ones(len(key), dtype=bool)
+        other[1:] = (did[1:] != did[:-1]) | (pos[1:] != pos[:-1])
+        other[0] = last_place != (int(did[0]), int(pos[0]))
+        last_place = int(did[-1]), int(pos[-1])
+        key, content, did, pos = (x[other] for x in (key, content, did, pos))
+        n = len(key)
+        if not n:
+            continue
         new_key = np.ones(n, dtype=bool)
         new_key[1:] = key[1:] != key[:-1]
         new_content = new_key.copy()
@@ -165,7 +209,7 @@ def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if goes_on:
             new_key[0] = False
             new_content[0] = int(content[0]) != last_content
-        group = np.cumsum(new_key) - (0 if not goes_on else 0)
+        group = np.cumsum(new_key)
         group -= group[0]
         kinds = np.bincount(group, weights=new_content).astype(np.int64)  # contents that begin in this batch
         more = kinds > 1
@@ -405,7 +449,7 @@ def dedupe_bytes(docs: DataFrame) -> DataFrame:
             yield out
         yield from gone
 
-    prepare(docs.sparkSession, 20_000)
+    prepare(docs.sparkSession, 4_000)  # small rows; _rows cuts its batches of documents itself
     found = written(ordered.mapInArrow(run, "key long, did long, pos long"), "substrings-repeats")
     prepare(docs.sparkSession, 64)
     firsts = found.where("key is not null")

@@ -235,6 +235,35 @@ def test_substrings(spark, odd, monkeypatch, hot, portion, shard):
     assert substring_dedup.dedupe_bytes(docs.limit(0)).count() == 0
 
 
+def test_substrings_of_repeated_rows(spark, odd):
+    """Rows that repeat doc_id and text lose what the document would lose alone."""
+    for parts in (1, 3):
+        doubled = odd.union(odd).repartition(parts, F.rand(1))
+        got = substring_dedup.digests(substring_dedup.dedupe_bytes(doubled)).collect()
+        want = plain_bytes([(x.doc_id, x.text) for x in odd.collect()])
+        assert len(got) == 2 * len(want)
+        assert all((v.n_bytes, v.n_removed, v.n_spans, v.kept_sha256) == want[v.doc_id] for v in got)
+
+
+@pytest.mark.parametrize("known", [20_000, 2])
+def test_met_stretches(monkeypatch, known):
+    """What a task calls repeats are later places of equal stretches, whichever order it meets them in."""
+    monkeypatch.setattr(substring_dedup, "KNOWN", known)
+    r, met, all_rows = np.random.default_rng(3), substring_dedup.Met(), []
+    found = []
+    for _ in range(12):
+        rows = np.stack([r.integers(0, 3, 40), r.integers(0, 4, 40), r.integers(0, 50, 40), r.integers(1, 9, 40)])
+        found.append(met.repeats(*rows))
+        all_rows.append(rows)
+    rows, found = np.concatenate(all_rows, axis=1).T.tolist(), np.concatenate(found)
+    least = {}
+    for k, c, *place in rows:
+        least[k, c] = min(least.get((k, c), place), place)
+    assert found.any() and not any(f and least[x[0], x[1]] == x[2:] for f, x in zip(found, rows, strict=True))
+    kept = {tuple(x) for f, x in zip(found, rows, strict=True) if not f}
+    assert all((k, c, *place) in kept for (k, c), place in least.items())
+
+
 # --- lines
 
 
