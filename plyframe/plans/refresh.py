@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 from plyframe.plans.checks import check_table
 from plyframe.plans.game_moves import prepare_moves
@@ -24,38 +26,45 @@ def refresh(
 ) -> dict[str, str]:
     """Rebuild every table from the player's archives; returns table name -> path.
 
-    Each stage is written before the next reads it, so a lost executor costs one stage at
-    most.  Games and moves are bucketed alike by ``game_uuid``: the mart groups and joins
-    them without a shuffle.
+    Each stage is written to a fresh folder below ``out`` and checked before the next reads it, so a lost
+    executor costs one stage at most.  Only when all have passed do the new tables take the places of the
+    old ones; a run that fails leaves those as they were.  Folders of former runs are left to the caller.
+    Games and moves are bucketed alike by ``game_uuid``: the mart groups and joins them without a shuffle.
     """
     configure(spark)
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    run = uuid.uuid4().hex
     raw_name = f"{tables.RAW_SCHEMA}.player_games"
+    paths = {name: f"{out}/{name.rsplit('.', 1)[-1]}/{run}" for name in (raw_name, "prep_player_games", "prep_game_moves", "games")}
+    fresh = {name: f"{name}_{run}" for name in paths}
+
+    def sound(name: str, table: DataFrame) -> DataFrame:
+        if checks:
+            check_table(name, table)
+        return table
+
+    try:
+        records = landing.read_games(spark, root, username)
+        checked = contract.with_problems(records, contract.RECORD, contract.text_rule())
+        raw = contract.with_lineage(contract.flatten(contract.require_valid(checked)), load_id)
+        tables.replace_table(raw, fresh[raw_name], paths[raw_name])
+        staged = sound("stg_player_games", stage_games(spark.table(fresh[raw_name])))
+
+        name = "prep_player_games"
+        tables.replace_bucketed(prepare_games(staged, username, buckets), fresh[name], "game_uuid", buckets, paths[name])
+        games = sound(name, spark.table(fresh[name]))
+
+        name = "prep_game_moves"
+        tables.replace_bucketed(prepare_moves(games), fresh[name], "game_uuid", buckets, paths[name])
+        moves = sound(name, spark.table(fresh[name]))
 
-    records = landing.read_games(spark, root, username)
-    checked = contract.with_problems(records, contract.RECORD, contract.text_rule())
-    raw = contract.with_lineage(contract.flatten(contract.require_valid(checked)), load_id)
-    tables.replace_table(raw, raw_name, f"{out}/player_games")
-
-    staged = stage_games(spark.table(raw_name))
-    tables.publish_view(staged, "stg_player_games")
-
-    games = prepare_games(staged, username, buckets)
-    tables.replace_bucketed(games, "prep_player_games", "game_uuid", buckets, f"{out}/prep_player_games")
-    games = spark.table("prep_player_games")
-
-    tables.replace_bucketed(
-        prepare_moves(games), "prep_game_moves", "game_uuid", buckets, f"{out}/prep_game_moves"
-    )
-    moves = spark.table("prep_game_moves")
-
-    tables.replace_table(build_games(games, moves), "games", f"{out}/games", ["time_class"])
-    if checks:
-        for name in ("stg_player_games", "prep_player_games", "prep_game_moves", "games"):
-            check_table(name, spark.table(name))
-    return {
-        raw_name: f"{out}/player_games",
-        "prep_player_games": f"{out}/prep_player_games",
-        "prep_game_moves": f"{out}/prep_game_moves",
-        "games": f"{out}/games",
-    }
+        tables.replace_table(build_games(games, moves), fresh["games"], paths["games"], ["time_class"])
+        sound("games", spark.table(fresh["games"]))
+    except Exception:
+        for name in fresh.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        raise
+    for name in paths:
+        tables.switch(spark, fresh[name], name)
+    tables.publish_view(stage_games(spark.table(raw_name)), "stg_player_games")
+    return paths

@@ -32,6 +32,15 @@ def replace_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str
     writer.saveAsTable(name)
 
 
+def switch(spark: SparkSession, fresh: str, name: str) -> None:
+    """Give table ``fresh`` the place of table ``name``.
+
+    Both lie in folders of their own, so the former one's files stay for readers that are still at it.
+    """
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+
+
 def replace_files(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
     writer = df.write.mode("overwrite")
     if partition_by:

@@ -6,6 +6,7 @@ import pytest
 from games import GOLDEN_MOVES, MATED, game_text
 from pyspark.sql import functions as F
 
+from plyframe.operators.quality import CheckFailed
 from plyframe.plans import analyses as an
 from plyframe.plans.checks import offending
 from plyframe.plans.game_moves import COLUMNS as MOVE_COLUMNS
@@ -240,3 +241,14 @@ def test_refresh(spark, archive, tmp_path):
     # a second run replaces everything
     refresh(spark, archive, str(tmp_path / "out"), "magnus", 2.0, buckets=3)
     assert spark.table("games").count() == 3
+
+
+def test_failing_refresh_leaves_the_old_tables(spark, archive, records, tmp_path):
+    refresh(spark, archive, str(tmp_path / "out"), "magnus", 1.0, buckets=3)
+    before = {t.name for t in spark.catalog.listTables()}
+    land(tmp_path / "twice", "magnus", {(2014, 11): json.dumps({"games": [records[0], records[0]]})})
+    with pytest.raises(CheckFailed, match="unique"):
+        refresh(spark, str(tmp_path / "twice"), str(tmp_path / "out"), "magnus", 2.0, buckets=3)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert spark.table("games").count() == 3 and spark.table("chess_data_raw.player_games").count() == 4
+    assert spark.table("stg_player_games").count() == 3
