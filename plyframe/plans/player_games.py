@@ -98,10 +98,11 @@ ADDED = [
 def prepare_games(staged: DataFrame, username: str | Column, partitions: int | None = None) -> DataFrame:
     """The per-game table.
 
-    The mating pieces join back by ``game_uuid``.  With ``partitions`` the rows are hashed
-    by that key first; the join, a bucketed write and all later steps keep that layout.
+    The mating pieces join back by ``game_uuid``.  With ``partitions`` the staged rows are hashed
+    by that key first, before the derived texts and lists widen them; the join, a bucketed write
+    and all later steps keep that layout.
     """
-    games = describe_games(staged, username)
     if partitions:
-        games = games.repartition(partitions, "game_uuid")
+        staged = staged.repartition(partitions, "game_uuid")
+    games = describe_games(staged, username)
     return with_mating_pieces(games, ["game_uuid"]).select(*staged.columns, *ADDED)
