@@ -3,9 +3,10 @@
 Passages (PASSAGE words of a document) are TF-IDF rows over the words of the benchmark items.  Their
 term-by-term product with a random matrix is summed over the whole corpus, from which the driver,
 holding one small matrix, takes the leading right singular vectors (single-pass randomised SVD).
-Items and document windows of about an item's length are folded into that space; windows whose cosine to
-an item passes NEAR are candidates.  A candidate counts if the longest common subsequence of words covers
-COPIED of the item, or PARAPHRASED of it with all of the item's answer words (its rarest) in the window.
+Items and document windows of about an item's length are folded into that space, and their cosine is
+given with each finding; it drops none.  Candidates are the windows that hold enough of an item's rarest
+words, which loses nothing that the next test accepts: a candidate counts if the longest common subsequence of
+words covers COPIED of the item, or PARAPHRASED of it with all of the item's answer words (its rarest) in the window.
 
 Items are handled in blocks of ITEMS, so what is broadcast is bounded whatever the benchmark's size.
 """
@@ -25,7 +26,6 @@ from plyframe.llm.shared import prepare, written
 
 PASSAGE = 32
 RANK = 48
-NEAR = 0.5
 COPIED = 0.8
 PARAPHRASED = 0.5
 ANSWER_WORDS = 3
@@ -232,13 +232,9 @@ def matches(space: Space, numbers: np.ndarray) -> dict[int, tuple[float, float,
             at, stop = i * step, min(n, i * step + window)
             v = space.vectors[numbers[at:stop]].sum(axis=0)
             cosines = unit[chosen] @ v / max(1e-9, float(np.sqrt(v @ v)))
-            if cosines.max() < NEAR:
-                continue
             near = numbers[max(0, at - reach) : stop + reach].tolist()
             held = set(near)
             for j, cosine in zip(chosen, cosines.tolist(), strict=True):
-                if cosine < NEAR:
-                    continue
                 item_id, words, answer, _, _ = space.items[which[j]]
                 if sum(map(held.__contains__, words)) < PARAPHRASED * len(words):
                     continue
