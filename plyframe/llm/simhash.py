@@ -150,6 +150,15 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     )
 
 
+def first_of_each(docs: DataFrame, prints: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are the first document of a root; ``prints`` has their fp, ``rooted`` the root of each fp."""
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version")
+    firsts = prints.groupBy("fp").agg(F.min(order).alias("first")).join(rooted, "fp")
+    kept = firsts.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.version")
+    same = docs["doc_id"].cast("long").eqNullSafe(kept["doc_id"]) & (_version() == kept["version"])
+    return docs.join(kept, same, "left_semi")
+
+
 def without_near_copies(docs: DataFrame, words: int = 3) -> DataFrame:
     """The rows of ``docs``, with all their columns, of which one document of each component stays.
 
@@ -157,8 +166,4 @@ def without_near_copies(docs: DataFrame, words: int = 3) -> DataFrame:
     doc_id and text are one document and stay together.
     """
     prints = written(fingerprints(docs, words), "simhash-prints")
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version")
-    firsts = prints.groupBy("fp").agg(F.min(order).alias("first")).join(_rooted(prints), "fp")
-    kept = firsts.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.version")
-    same = docs["doc_id"].cast("long").eqNullSafe(kept["doc_id"]) & (_version() == kept["version"])
-    return docs.join(kept, same, "left_semi")
+    return first_of_each(docs, prints, _rooted(prints))

@@ -2,7 +2,10 @@
 
 import random
 
-from plyframe.llm import decontamination
+import pytest
+
+import corpus_pipeline
+from plyframe.llm import decontamination, near_copies
 
 COMMON = "the of and with a to in is it on for as at by from that this was are be".split()
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -22,3 +25,26 @@ def test_rare_items_among_frequent_words(spark):
     benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     got = {(x.doc_id, x.item_id) for x in decontamination.contaminated(frame(spark, texts), benchmark).collect()}
     assert {(i, i) for i in range(5)} <= got
+
+
+@pytest.mark.parametrize("crowd", [64, 2])
+def test_stage_of_near_copies(spark, monkeypatch, crowd):
+    """Components of all pairs of similarity 0.8 on five-word shingles, whatever the size of a key."""
+    monkeypatch.setattr(near_copies, "CROWD", crowd)
+    r = random.Random(11)
+    texts = [None, "", "a b", "A  b"]
+    for i in range(12):
+        words = [f"w{r.randrange(500)}" for _ in range(200)]
+        for _ in range(8):
+            texts.append(" ".join(words))
+            for _ in range(r.randrange(1, 5)):
+                words[r.randrange(200)] = f"v{r.randrange(500)}"
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in ((t or "").lower().split() for t in texts)]
+    root = list(range(len(texts)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if len(x & y) >= 0.8 * len(x | y):
+                a, b = sorted((root[i], root[j]))
+                root = [a if k == b else k for k in root]
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, frame(spark, texts), "")
+    assert sorted(x.doc_id for x in kept.collect()) == sorted(set(root))
