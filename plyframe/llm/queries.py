@@ -50,7 +50,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without repeated or nearly repeated lines."""
-    return line_dedup.dedupe_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+    return line_dedup.dedupe_lines(table(spark, sf_dir, "documents"), least=1).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

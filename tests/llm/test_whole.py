@@ -48,3 +48,10 @@ def test_stage_of_near_copies(spark, monkeypatch, crowd):
                 root = [a if k == b else k for k in root]
     kept = corpus_pipeline.keep_one_of_near_copies(spark, frame(spark, texts), "")
     assert sorted(x.doc_id for x in kept.collect()) == sorted(set(root))
+
+
+def test_short_lines(spark):
+    """The stage removes exact repeats of short lines, not short lines one edit away, nor blank ones."""
+    docs = frame(spark, ["Menu\n\nAdd\nMenu\n\nAdd ", "Ad\nMenu\nown"])
+    got = {x.doc_id: x.text for x in corpus_pipeline.remove_repeated_lines(spark, docs, "").collect()}
+    assert got == {0: "Menu\n\nAdd\n", 1: "Ad\nown"}
