@@ -4,8 +4,8 @@ A page's text is cut into blocks at block-level tags.  Blocks with the same path
 root are one group: its text per block and its punctuation per block are averaged, smoothed over the
 page's order, and multiplied.  Paths whose fused ratio passes the page's threshold are content.
 What the page itself names (article, main; nav, footer, advert or comment classes and the like) enters as
-a prior: the ratio of a path below a boilerplate name is zero, and a named article's other paths
-are all above the threshold.
+a prior: the ratio of a path below a boilerplate name is zero, and the paths of a named article share its mean ratio, weighted
+by length and times BONUS, if that is more than their own.  So headings go with their article, and the threshold decides on all.
 """
 
 from __future__ import annotations
@@ -42,36 +42,37 @@ NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 TAG_END = re.compile(r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>""")
 NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
+BONUS = 3.0  # on the mean ratio of a named article
 KEEP = 0.35  # a path is content from this share of the page's spread of ratios on
 
 
 class Block:
-    __slots__ = ("linked", "path", "prior", "text")
+    __slots__ = ("linked", "named", "path", "prior", "text")
 
-    def __init__(self, path: tuple[str, ...], prior: int, text: str, linked: int) -> None:
-        self.path, self.prior, self.text, self.linked = path, prior, text, linked
+    def __init__(self, path: tuple[str, ...], prior: int, text: str, linked: int, named: int = 0) -> None:
+        self.path, self.prior, self.text, self.linked, self.named = path, prior, text, linked, named
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's text blocks in order; prior is 1 within a named article, -1 within boilerplate, else 0."""
+    """The page's text blocks in order; prior is 1 within a named article, -1 within boilerplate, else 0; named is the length of the article's own path."""
     found: list[Block] = []
-    stack: list[tuple[str, str, int]] = []  # name, step of the path, prior
+    stack: list[tuple[str, str, int, int]] = []  # name, step of the path, prior, length of the innermost article's path
     pieces: list[str] = []
-    linked, path, prior = 0, (), 0
+    linked, path, prior, named = 0, (), 0, 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            found.append(Block(path, prior, text, linked))
+            found.append(Block(path, prior, text, linked, named))
         pieces.clear()
         linked = 0
 
     def add(text: str) -> None:
-        nonlocal path, prior, linked
+        nonlocal path, prior, linked, named
         if not pieces or not path:
             path = tuple(x[1] for x in stack)
-            prior = stack[-1][2] if stack else 0
+            prior, named = stack[-1][2:] if stack else (0, 0)
         if any(x[0] == "a" for x in stack[-6:]):
             linked += len(text)
         pieces.append(text)
@@ -151,8 +152,10 @@ def blocks(page: str) -> list[Block]:
             mark = 1
         else:
             mark = before
+        own_article = mark > 0 and (name in ("article", "main") or role in ("main", "article"))
+        inner = len(stack) + 1 if own_article else stack[-1][3] if stack else 0
         if not attributes.endswith("/") or name in BLOCK:
-            stack.append((name, f"{name}.{said.split()[0]}" if said else name, mark))
+            stack.append((name, f"{name}.{said.split()[0]}" if said else name, mark, inner))
     flush()
     return found
 
@@ -174,10 +177,14 @@ def content(found: list[Block]) -> list[Block]:
     fused = smooth.prod(axis=1)
     priors = np.array([b.prior for b in found])
     fused[priors < 0] = 0.0
+    articles: dict[tuple[str, ...], list[int]] = {}
+    for i, b in enumerate(found):
+        if b.prior > 0:
+            articles.setdefault(b.path[: b.named], []).append(i)
+    for where in articles.values():
+        sizes = [len(found[i].text) for i in where]
+        fused[where] = np.maximum(fused[where], BONUS * np.average(fused[where], weights=sizes))
     limit = KEEP * fused.std()
-    if (priors > 0).any():  # a named article: all of it is content, the rest of the page is not
-        fused = np.where(priors > 0, np.inf, 0.0)
-        limit = 1.0
     best: dict[tuple[str, ...], list[float]] = {}
     for b, x in zip(found, fused, strict=True):
         best.setdefault(b.path, []).append(x)

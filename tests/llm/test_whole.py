@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from plyframe.llm import decontamination, near_copies
+from plyframe.llm import decontamination, html_text, near_copies
 
 COMMON = "the of and with a to in is it on for as at by from that this was are be".split()
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -55,3 +55,13 @@ def test_short_lines(spark):
     docs = frame(spark, ["Menu\n\nAdd\nMenu\n\nAdd ", "Ad\nMenu\nown"])
     got = {x.doc_id: x.text for x in corpus_pipeline.remove_repeated_lines(spark, docs, "").collect()}
     assert got == {0: "Menu\n\nAdd\n", 1: "Ad\nown"}
+
+
+def test_article_cards_beside_an_unnamed_body():
+    """Short named articles do not displace a long body without a name."""
+    body = "".join(f"<p>Paragraph {i} of the text, which is long, has marks, and goes on; so that it counts, as a body does, for the page.</p>" for i in range(6))
+    cards = "".join(f"<article class=card><h3>Card {i}</h3><p>Read on.</p></article>" for i in range(4))
+    got = html_text.main_text(f"<body><div class=w><div class=text>{body}</div><div class=more>{cards}</div></div></body>")
+    assert got.startswith("Paragraph 0") and "Paragraph 5" in got and "Card" not in got
+    alone = html_text.main_text(f"<body><div><p>Elsewhere.</p></div><article><h1>Head</h1>{body}</article></body>")
+    assert alone.startswith("Head") and "Paragraph 5" in alone and "Elsewhere" not in alone
