@@ -6,7 +6,8 @@ holding one small matrix, takes the leading right singular vectors (single-pass
 Items and document windows of about an item's length are folded into that space, and their cosine is
 given with each finding; it drops none.  Candidates are the windows that hold enough of an item's rarest
 words, which loses nothing that the next test accepts: a candidate counts if the longest common subsequence of
-words covers COPIED of the item, or PARAPHRASED of it with all of the item's answer words (its rarest) in the window.
+words covers COPIED of the item, or PARAPHRASED of it with the answer in the window: all of the item's ANSWER_WORDS
+rarest words, or ANSWERED of the weight of those looked up.
 
 Items are handled in blocks of ITEMS, so what is broadcast is bounded whatever the benchmark's size.
 """
@@ -29,6 +30,7 @@ RANK = 48
 COPIED = 0.8
 PARAPHRASED = 0.5
 ANSWER_WORDS = 3
+ANSWERED = 0.5
 ITEMS = 2000
 LONGEST_ITEM = 64  # longer items are searched as pieces of this many words
 WINDOWS = (16, 24, 32, 48, 64)  # words
@@ -62,7 +64,7 @@ class Space:
 
     vocabulary: dict[bytes, int]
     vectors: np.ndarray
-    items: list[tuple[int, list[int], frozenset[int], list[int], int]]  # item_id, words, answer words, rarest words, how many of those are needed
+    items: list[tuple[int, list[int], frozenset[int], dict[int, float], int]]  # item_id, words, answer words, weights of the rarest words, how many of those are needed
     by_window: dict[int, tuple[list[int], np.ndarray, dict[int, list[int]]]]  # window -> items, unit vectors, items by word they need
 
 
@@ -189,9 +191,13 @@ def build_space(docs: DataFrame, items: list[tuple[int, str]]) -> Space | None:
         needed = ordered[: spare + ANSWER_WORDS]
         least = max(1, min(ANSWER_WORDS, len(needed) - spare))
         rare = ordered[:ANSWER_WORDS]
+        # Nor does the lookup miss a window with ANSWERED of their weight.
+        heaviest = np.cumsum(np.sort(weights[needed])[::-1])
+        least = min(least, int(np.searchsorted(heaviest, ANSWERED * heaviest[-1])) + 1 if needed else 1)
+        heavy = {w: float(weights[w]) for w in needed}
         window = next((w for w in WINDOWS if w >= len(numbers)), WINDOWS[-1])
         by_window.setdefault(window, []).append(len(kept))
-        kept.append((item_id, numbers, frozenset(rare), needed, least))
+        kept.append((item_id, numbers, frozenset(rare), heavy, least))
     folded = {}
     for window, which in by_window.items():
         v = np.array([vectors[kept[i][1]].sum(axis=0) for i in which])
@@ -235,11 +241,11 @@ def matches(space: Space, numbers: np.ndarray) -> dict[int, tuple[float, float,
             near = numbers[max(0, at - reach) : stop + reach].tolist()
             held = set(near)
             for j, cosine in zip(chosen, cosines.tolist(), strict=True):
-                item_id, words, answer, _, _ = space.items[which[j]]
+                item_id, words, answer, heavy, _ = space.items[which[j]]
                 if sum(map(held.__contains__, words)) < PARAPHRASED * len(words):
                     continue
                 share = common_subsequence(words, near) / len(words)
-                answered = answer <= held
+                answered = answer <= held or sum(x for w, x in heavy.items() if w in held) >= ANSWERED * sum(heavy.values())
                 if share >= COPIED or (share >= PARAPHRASED and answered):
                     found[item_id] = max(found.get(item_id, (0.0, 0.0, False)), (share, cosine, answered))
     return found

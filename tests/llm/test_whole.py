@@ -65,3 +65,15 @@ def test_article_cards_beside_an_unnamed_body():
     assert got.startswith("Paragraph 0") and "Paragraph 5" in got and "Card" not in got
     alone = html_text.main_text(f"<body><div><p>Elsewhere.</p></div><article><h1>Head</h1>{body}</article></body>")
     assert alone.startswith("Head") and "Paragraph 5" in alone and "Elsewhere" not in alone
+
+
+def test_paraphrase_without_one_rare_word(spark):
+    """Most of an item in order counts, though one of its three rarest words is another."""
+    items = [" ".join(f"w{i}x{k}" for k in range(24)) for i in range(8)]
+    changed = [" ".join(w if k % 4 else "other" for k, w in enumerate(x.split())) for x in items]
+    r = random.Random(2)
+    texts = [" ".join([*r.choices(COMMON, k=50), x, *r.choices(COMMON, k=50)]) for x in changed]
+    texts += [" ".join(f"{w} {' '.join(r.choices(COMMON, k=6))}" for w in x.split()[4::4]) for x in items * 2]  # leaves the first word the rarest
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontamination.contaminated(frame(spark, texts), benchmark).collect()}
+    assert got == {(i, i) for i in range(8)}
