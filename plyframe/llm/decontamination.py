@@ -20,7 +20,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plyframe.llm.shared import prepare, written
@@ -252,7 +252,23 @@ def matches(space: Space, numbers: np.ndarray) -> dict[int, tuple[float, float,
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, share, cosine, answered): every document that holds a benchmark item.
+    """(doc_id, item_id, share, cosine, answered): every document that holds a benchmark item; see ``findings``."""
+    return findings(docs, benchmark).drop("version")
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, by doc_id, which may be null, and hash of the text."""
+    held = findings(docs, benchmark).select("doc_id", "version").distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(held["doc_id"]) & (_version(docs["text"]).eqNullSafe(held["version"]))
+    return docs.join(held, same, "left_anti")
+
+
+def _version(text: Column) -> Column:
+    return F.xxhash64(text.cast("string"))
+
+
+def findings(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The columns of ``contaminated`` and version, the hash of the document's text.
 
     Texts are searched whole.  Defined cases: null or wordless items and texts match nothing; an item that
     occurs several times in a document gives one row, its best; repeated rows of documents give
@@ -260,9 +276,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     prepare(spark)
-    types = "doc_id long, item_id long, share double, cosine double, answered boolean"
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64()), ("cosine", pa.float64()), ("answered", pa.bool_())])
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
+    types = "doc_id long, version long, item_id long, share double, cosine double, answered boolean"
+    schema = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64()), ("cosine", pa.float64()), ("answered", pa.bool_())])
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _version(F.col("text")).alias("version"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
     parts = max(1, -(-benchmark.count() // ITEMS))
     out = spark.createDataFrame([], types)
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
@@ -279,14 +295,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             reach = 2 * WINDOWS[-1]
             for batch in batches:
                 rows = []
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                for doc_id, version, text in zip(batch.column("doc_id").to_pylist(), batch.column("version").to_pylist(), batch.column("text").to_pylist(), strict=True):
                     found = words_of(text)
                     best: dict[int, tuple[float, float, bool]] = {}
                     for at in range(0, max(1, len(found)), STRETCH):  # stretches overlap by more than a window
                         numbers = number(found[at : at + STRETCH + reach], space.vocabulary)
                         for item_id, x in matches(space, numbers).items():
                             best[item_id] = max(x, best.get(item_id, x))
-                    rows += [{"doc_id": doc_id, "item_id": i, "share": x[0], "cosine": x[1], "answered": x[2]} for i, x in best.items()]
+                    rows += [{"doc_id": doc_id, "version": version, "item_id": i, "share": x[0], "cosine": x[1], "answered": x[2]} for i, x in best.items()]
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
         out = out.unionByName(own.mapInArrow(run, types))

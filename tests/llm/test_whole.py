@@ -77,3 +77,12 @@ def test_paraphrase_without_one_rare_word(spark):
     benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     got = {(x.doc_id, x.item_id) for x in decontamination.contaminated(frame(spark, texts), benchmark).collect()}
     assert got == {(i, i) for i in range(8)}
+
+
+def test_rows_without_id_and_shared_ids(spark):
+    """What goes is the document that holds the item, whether its doc_id is null or another's too."""
+    item = " ".join(f"q{k}" for k in range(20))
+    rows = [(None, f"so {item} on", "a"), (None, "clean", "b"), (7, f"so {item} on", "c"), (7, "clean", "d"), (None, None, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = decontamination.without_items(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(x.source for x in kept.collect()) == ["b", "d", "e"]
