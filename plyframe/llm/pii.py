@@ -41,10 +41,12 @@ CUES = {
 }
 ENDINGS = {"com", "org", "net", "edu", "gov", "io", "de", "fr", "es", "uk", "info", "eu"}
 KEY_STARTS = ("sk_", "pk_", "ghp_", "AKIA", "xoxb", "eyJ")
-SPELT = re.compile(r"\b[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]|\.) ?[A-Za-z0-9-]{1,63})+")
+SPELT = re.compile(
+    r"(?<![A-Za-z0-9._%+-])[.%+-]*+([A-Za-z0-9_][A-Za-z0-9._%+-]*+ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]++(?: ?(?:\(dot\)|\[dot\]|\.) ?[A-Za-z0-9-]++)+)"
+)
 SIXES = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
-NUMBER = re.compile(r"(?<![\w.+-])\(?[0-9][0-9 ().-]{5,28}[0-9](?![\w-])")
-OPAQUE = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20,256}(?![A-Za-z0-9_+/=-])")
+NUMBER = re.compile(r"(?<![\w.+-])\(?[0-9](?:[ ().-]*+[0-9]){6,18}(?![\w-])")  # as many digits as are looked for
+OPAQUE = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20,}+(?![A-Za-z0-9_+/=-])")
 SHOWN = 0.9  # a proposal stays from this probability on
 
 
@@ -95,7 +97,7 @@ def proposals(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, i
     """Spans of looser detectors that touch no base span and, from left to right, not each other."""
     found = []
     if "at" in text and ("(at)" in text or "[at]" in text):
-        found += [("email", *m.span()) for m in SPELT.finditer(text)]
+        found += [("email", *m.span(1)) for m in SPELT.finditer(text)]
     if ":" in text:
         found += [("ip", *m.span()) for m in SIXES.finditer(text)]
     for m in NUMBER.finditer(text):

@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from plyframe.llm import decontamination, html_text, near_copies
+from plyframe.llm import decontamination, html_text, near_copies, pii
 
 COMMON = "the of and with a to in is it on for as at by from that this was are be".split()
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -86,3 +86,11 @@ def test_rows_without_id_and_shared_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     kept = decontamination.without_items(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert sorted(x.source for x in kept.collect()) == ["b", "d", "e"]
+
+
+def test_long_secrets_and_spelt_names():
+    """Proposals cover whole runs, however long."""
+    key, name = "a1B2" * 200, "first.last" * 20
+    text = f"token {key} or {name} (at) {'host' * 30} (dot) org, 1 . 2 . 3 . 4 . 5 . 6 . 7 . 8 . 9 . 0"
+    got = [(k, text[s:e]) for k, s, e in pii.proposals(text, [])]
+    assert got == [("secret", key), ("email", f"{name} (at) {'host' * 30} (dot) org"), ("phone", text[text.index("1 . 2") :])]
