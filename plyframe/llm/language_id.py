@@ -35,9 +35,9 @@ _letters: dict[str, np.ndarray] = {}
 
 
 def _is_letter(points: np.ndarray) -> np.ndarray:
-    if "bmp" not in _letters:
-        _letters["bmp"] = np.array([chr(i).isalpha() for i in range(0x10000)])
-    return _letters["bmp"][np.minimum(points, 0xFFFF)] | (points > 0xFFFF)
+    if "all" not in _letters:
+        _letters["all"] = np.array([chr(i).isalpha() for i in range(0x110000)])
+    return _letters["all"][points]
 
 
 def symbols(text: str) -> tuple[np.ndarray, int]:

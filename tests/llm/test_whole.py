@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from plyframe.llm import decontamination, html_text, near_copies, pii
+from plyframe.llm import decontamination, html_text, language_id, near_copies, pii
 
 COMMON = "the of and with a to in is it on for as at by from that this was are be".split()
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -94,3 +94,10 @@ def test_long_secrets_and_spelt_names():
     text = f"token {key} or {name} (at) {'host' * 30} (dot) org, 1 . 2 . 3 . 4 . 5 . 6 . 7 . 8 . 9 . 0"
     got = [(k, text[s:e]) for k, s, e in pii.proposals(text, [])]
     assert got == [("secret", key), ("email", f"{name} (at) {'host' * 30} (dot) org"), ("phone", text[text.index("1 . 2") :])]
+
+
+def test_letters_beyond_the_first_plane():
+    """Emoji are no letters, ideographs of the second plane are."""
+    assert language_id.symbols("\U0001f600\U0001f680")[1] == 0
+    points, letters = language_id.symbols("a\U0001f600b\U00020000")
+    assert letters == 3 and points.tolist() == [97, 32, 98, 0x20000]
