@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plyframe.llm import bpe, decontamination, html_text, language_id, line_dedup, pii, simhash, substring_dedup, topk, warc
+from plyframe.llm import bpe, decontamination, html_text, language_id, line_dedup, pii, simhash, source_audit, substring_dedup, topk, url_rules, warc
 from plyframe.llm.shared import scratch, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the fixed rules, else by rules learned from the labels."""
+    pages = table(spark, sf_dir, "pages")
+    learned = url_rules.mine(url_rules.labelled_urls(pages, table(spark, sf_dir, "labels")))
+    return url_rules.judge(pages, learned)
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source's words are from the others' and from its language's."""
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py."""
     import corpus_pipeline
@@ -79,10 +91,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_nearest_codes, op3_warc, op4_bpe, op5_main_text, op6_decontamination,
-        op7_line_dedup, op8_pii, op9_substring_dedup, op10_simhash, pipeline,
+        op7_line_dedup, op8_pii, op9_substring_dedup, op10_simhash, op11_url_rules, op12_source_audit, pipeline,
     )
 }
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_HOST = _LOWER.format("coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), '')")
+_PATH = "coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '')"
+_FITS = " ".join(
+    f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.host}{r.path}'"
+    for r in sorted(url_rules.RULES, key=lambda r: -len(r.host + r.path))
+)
+_BLOCKING = ", ".join(f"'{r.host}{r.path}'" for r in url_rules.RULES if r.verdict == "block")
 _PAYLOAD = "encode(coalesce(html, ''))"
 SQL: dict[str, str] = {
     "op2_nearest_codes": """
@@ -101,4 +121,69 @@ SQL: dict[str, str] = {
                CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN last END AS refers_to
         FROM own LEFT JOIN kept ON own.payload_digest = kept.payload_digest AND own.payload_bytes >= 1000""",
+    "op11_url_rules": f"""
+        WITH parts AS (SELECT page_id, url, {_HOST} AS host, {_PATH} AS path FROM pages),
+        urls AS (
+            SELECT page_id, url, host, path, CASE {_FITS} END AS rule, list_sort(list_distinct(list_concat(
+                list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''), lambda x: 'h:' || x),
+                list_transform(list_filter(string_split_regex(regexp_replace({_LOWER.format("path")}, '[0-9]+', '0', 'g'), '[/._~-]+'), lambda x: x <> ''), lambda x: 'p:' || x),
+                list_transform(list_filter(string_split(regexp_extract(coalesce(url, ''), '^[^?#]*[?]([^#]*)', 1), '&'), lambda x: x <> ''),
+                               lambda x: 'q:' || regexp_extract(x, '^[^=]*'))))) AS tokens FROM parts),
+        labelled AS (
+            SELECT row_number() OVER () AS r, tokens, coalesce(toxic, 0) = 1 OR coalesce(quality, 1) = 0 AS unwanted
+            FROM urls JOIN labels ON doc_id = page_id),
+        whole AS (SELECT count(*) AS n, count(*) FILTER (unwanted) AS bad FROM labelled),
+        each AS (SELECT r, unwanted, unnest(tokens) AS token FROM labelled),
+        telling AS (
+            SELECT token, abs(CAST(count(*) FILTER (unwanted) AS HUGEINT) * any_value(n) - CAST(count(*) AS HUGEINT) * any_value(bad)) AS off
+            FROM each, whole GROUP BY token),
+        chosen AS (
+            SELECT r, unwanted, token, row_number() OVER (PARTITION BY r ORDER BY off DESC, token) AS place FROM each JOIN telling USING (token)),
+        items AS (SELECT unwanted, list(token ORDER BY token) AS tokens FROM chosen WHERE place <= {url_rules.TOKENS} GROUP BY r, unwanted),
+        subsets AS (
+            SELECT unwanted, list_filter(tokens, lambda x, i: (m >> (i - 1)) & 1 = 1) AS tokens
+            FROM items, range(1, {1 << url_rules.TOKENS}) AS masks(m) WHERE m < (1 << len(tokens))),
+        sets AS (SELECT tokens, count(*) AS held, count(*) FILTER (unwanted) / count(*) AS confidence FROM subsets GROUP BY tokens),
+        enough AS (
+            SELECT tokens, held, confidence FROM sets, (SELECT count(*) AS n FROM items)
+            WHERE held >= greatest({url_rules.LEAST}, {url_rules.SUPPORT} * n) AND confidence >= {url_rules.CONFIDENCE}),
+        rules AS (
+            SELECT * FROM enough AS r WHERE NOT EXISTS (
+                SELECT 1 FROM enough AS s WHERE len(s.tokens) < len(r.tokens) AND list_has_all(r.tokens, s.tokens) AND s.confidence >= r.confidence)),
+        found AS (
+            SELECT url, first(array_to_string(rules.tokens, ' ') ORDER BY confidence DESC, held DESC, array_to_string(rules.tokens, ' ')) AS matched
+            FROM (SELECT DISTINCT url, tokens FROM urls WHERE rule IS NULL AND url IS NOT NULL) AS u JOIN rules ON list_has_all(u.tokens, rules.tokens) GROUP BY url)
+        SELECT page_id, host, path, rule, CASE WHEN rule IN ({_BLOCKING}) THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+                    WHEN matched IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+               CASE WHEN rule IS NULL THEN matched END AS matched
+        FROM urls LEFT JOIN found USING (url)""",
+    "op12_source_audit": f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+        words AS (
+            SELECT r, lang, source, {_LOWER.format("w")} AS term
+            FROM (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS w FROM docs)),
+        kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= {source_audit.LEAST}),
+        langs AS (
+            SELECT lang, count(term) AS v, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang) GROUP BY lang),
+        counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+        sizes AS (
+            SELECT lang, source, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+        shares AS (
+            SELECT s.lang AS lang, s.source AS source, k.term AS term, coalesce(c.n, 0) AS n,
+                   CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5) // (s.total + 5 * l.v) AS BIGINT) AS p,
+                   CAST(1 + CAST(1000000000 AS HUGEINT) * (k.n + 5) // (l.total + 5 * l.v) AS BIGINT) AS q
+            FROM sizes AS s JOIN langs AS l ON l.lang = s.lang JOIN kept AS k ON k.lang = s.lang
+            LEFT JOIN counts AS c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+        pairs AS (
+            SELECT x.lang AS lang, x.source AS source, y.source AS item,
+                   coalesce((SELECT sum(abs(a.p - b.p)) FROM shares AS a JOIN shares AS b ON a.lang = b.lang AND a.term = b.term
+                             WHERE a.lang = x.lang AND a.source = x.source AND b.source = y.source), 0) AS value
+            FROM sizes AS x JOIN sizes AS y ON x.lang = y.lang AND x.source <> y.source),
+        parts AS (
+            SELECT lang, source, 'pair' AS part, item, value FROM pairs
+            UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS place FROM parts)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR place <= {source_audit.TOP}""",
 }
