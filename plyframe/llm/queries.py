@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plyframe.llm import bpe, decontamination, html_text, language_id, line_dedup, pii, simhash, source_audit, substring_dedup, topk, url_rules, warc
+from plyframe.llm import bpe, conversation_repair, decontamination, html_text, language_id, line_dedup, pii, simhash, source_audit, substring_dedup, topk, url_rules, warc
 from plyframe.llm.shared import scratch, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -80,6 +80,11 @@ def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every damaged conversation."""
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py."""
     import corpus_pipeline
@@ -91,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_nearest_codes, op3_warc, op4_bpe, op5_main_text, op6_decontamination,
-        op7_line_dedup, op8_pii, op9_substring_dedup, op10_simhash, op11_url_rules, op12_source_audit, pipeline,
+        op7_line_dedup, op8_pii, op9_substring_dedup, op10_simhash, op11_url_rules, op12_source_audit, op13_conversation_repair, pipeline,
     )
 }
 
@@ -186,4 +191,67 @@ SQL: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS place FROM parts)
         SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
         FROM ranked WHERE part = 'pair' OR place <= {source_audit.TOP}""",
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE own AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+        kinds AS (
+            SELECT *, xor(list_reduce(
+                list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(key, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                lambda crc, b: list_reduce(list_prepend(xor(crc, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+                                           lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) % 20 AS kind FROM own),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                   unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM kinds WHERE kind <> 0),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again, left(role, 1) AS initial FROM damaged),
+        messages AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN again > 1 THEN 'd'
+                           WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE ' ' END AS fault,
+                   lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS former FROM placed),
+        inserts(s, t, cost, word) AS (
+            VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 2, 'I'), (1, 2, 2, 'I'), (2, 3, 2, 'I'), (3, 2, 2, 'I'),
+                   (0, 3, 4, 'II'), (1, 3, 4, 'II'), (3, 3, 4, 'II')),
+        says(s, t, initial) AS (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (3, 2, 'u'), (2, 3, 'a')),
+        steps AS (
+            SELECT i.s AS s, i.t AS t, i.cost + 3 AS cost, i.word || 'D' AS word, CAST(NULL AS VARCHAR) AS initial, 3 AS least FROM inserts AS i
+            UNION ALL SELECT i.s, e.t, i.cost + 2, i.word || 'R', CAST(NULL AS VARCHAR), 2 FROM inserts AS i JOIN says AS e ON e.s = i.t AND e.initial <> 's'
+            UNION ALL SELECT i.s, e.t, i.cost, i.word || 'K', e.initial, 1 FROM inserts AS i JOIN says AS e ON e.s = i.t),
+        best AS (
+            SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS s, '000000000' AS found FROM (SELECT DISTINCT conv_id FROM messages)
+            UNION ALL
+            SELECT b.conv_id, b.i + 1, e.t,
+                   min(lpad(CAST(CAST(left(found, 9) AS BIGINT) + e.cost + CASE WHEN m.fault = 't' AND e.least < 3 THEN 1 ELSE 0 END AS VARCHAR), 9, '0') || substr(found, 10) || e.word)
+            FROM best AS b JOIN messages AS m ON m.conv_id IS NOT DISTINCT FROM b.conv_id AND m.i = b.i + 1
+            JOIN steps AS e ON e.s = b.s AND (e.initial IS NULL OR e.initial = m.initial) AND (e.least = 3 OR m.fault NOT IN ('b', 'd'))
+            GROUP BY b.conv_id, b.i, e.t),
+        counted AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+                   count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+                   count(*) FILTER (former IS NOT NULL AND former || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM messages GROUP BY conv_id),
+        repaired AS (
+            SELECT c.conv_id AS conv_id,
+                   min(lpad(CAST(CAST(left(found, 9) AS BIGINT) + e.cost AS VARCHAR), 9, '0') || substr(found, 10) || e.word) AS found
+            FROM counted AS c JOIN best AS b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = c.n JOIN inserts AS e ON e.s = b.s AND e.t IN (0, 3)
+            GROUP BY c.conv_id),
+        edits AS (
+            SELECT conv_id, x, substr(found, 9 + x, 1) AS edit
+            FROM (SELECT conv_id, found, unnest(range(1, length(found) - 8)) AS x FROM repaired)),
+        numbered AS (
+            SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY x) AS i,
+                   count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id ORDER BY x) AS kept FROM edits),
+        spoken AS (
+            SELECT n.conv_id AS conv_id, x, edit, kept, m.role AS role, CASE edit WHEN 'I' THEN '' ELSE m.text END AS text,
+                   max(CASE WHEN kept = 1 AND edit = 'K' AND m.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY n.conv_id) AS led
+            FROM numbered AS n LEFT JOIN messages AS m ON m.conv_id IS NOT DISTINCT FROM n.conv_id AND m.i = n.i WHERE edit <> 'D'),
+        texts AS (
+            SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (kept - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY x) AS whole
+            FROM spoken GROUP BY conv_id)
+        SELECT o.conv_id AS conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, coalesce(CAST(left(found, 9) AS BIGINT), 0) AS cost, coalesce(substr(found, 10), '') AS audit,
+               sha256(coalesce(whole, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS o LEFT JOIN counted AS c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN repaired AS r ON r.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN texts AS t ON t.conv_id IS NOT DISTINCT FROM o.conv_id""",
 }
