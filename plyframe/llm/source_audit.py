@@ -93,9 +93,9 @@ def group_terms(docs: DataFrame) -> DataFrame:
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
-    """p = 1 + floor(SCALE (count + PLUS) / (total + PLUS V)), exact."""
+    """p = 1 + floor(SCALE (count + PLUS) / (total + PLUS V)), exact; without kept terms there is no share, and what is given is not used."""
     over = (F.lit(SCALE).cast("decimal(10,0)") * (count + PLUS).cast("decimal(20,0)")).alias("over")
-    return F.lit(1).cast("long") + F.call_function("div", over, (total + PLUS * kept).cast("decimal(20,0)"))
+    return F.lit(1).cast("long") + F.call_function("div", over, F.greatest(total + PLUS * kept, F.lit(1)).cast("decimal(20,0)"))
 
 
 def _top_terms(counts: DataFrame, groups: DataFrame, langs: DataFrame, kept: DataFrame, top: int) -> DataFrame:
