@@ -2,10 +2,8 @@
 
 import random
 
-import pytest
-
 import corpus_pipeline
-from plyframe.llm import decontamination, html_text, language_id, near_copies, pii
+from plyframe.llm import decontamination, html_text, language_id, pii
 
 COMMON = "the of and with a to in is it on for as at by from that this was are be".split()
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -27,10 +25,8 @@ def test_rare_items_among_frequent_words(spark):
     assert {(i, i) for i in range(5)} <= got
 
 
-@pytest.mark.parametrize("crowd", [64, 2])
-def test_stage_of_near_copies(spark, monkeypatch, crowd):
-    """Components of all pairs of similarity 0.8 on five-word shingles, whatever the size of a key."""
-    monkeypatch.setattr(near_copies, "CROWD", crowd)
+def test_stage_of_near_copies(spark):
+    """Components of all pairs of similarity 0.8 on five-word shingles."""
     r = random.Random(11)
     texts = [None, "", "a b", "A  b"]
     for i in range(12):
