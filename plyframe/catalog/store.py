@@ -12,8 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plyframe.catalog import archive
+from plyframe.plans.cube import write_cube
 from plyframe.plans.game_moves import prepare_moves
 from plyframe.plans.games import build_games
+from plyframe.plans.openings import write_drill
 from plyframe.plans.player_games import prepare_games
 from plyframe.plans.staging import stage_games
 from plyframe.session import checkpoint_dir, configure
@@ -80,3 +82,21 @@ def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stage(
         spark, sf_dir, "games", lambda: build_games(games(spark, sf_dir), moves(spark, sf_dir))
     )
+
+
+def _at(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> DataFrame:
+    """A table that its own writer lays out, written once per session."""
+    path = folder(spark, sf_dir, name)
+    if path not in _written:
+        write(path)
+        _written.add(path)
+    return spark.read.parquet(path)
+
+
+def cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _at(spark, sf_dir, "cube", lambda path: write_cube(mart(spark, sf_dir), path))
+
+
+def drill(spark: SparkSession, sf_dir: str, games_of: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Games in the order of their openings, of the games that ``games_of`` selects from the mart."""
+    return _at(spark, sf_dir, name, lambda path: write_drill(games_of(mart(spark, sf_dir)), path))

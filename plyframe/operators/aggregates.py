@@ -34,8 +34,10 @@ def percent_where(condition: Column) -> Column:
     return F.lit(100.0) * F.count_if(condition) / F.count(F.lit(1))
 
 
-def counts(df: DataFrame, by: list[str], alias: str = "num_games") -> DataFrame:
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias(alias))
+def counts(df: DataFrame, by: list[str], alias: str = "num_games", weight: str | None = None) -> DataFrame:
+    """Rows per group; the sum of ``weight`` where a row stands for several."""
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.groupBy(*by).agg(rows.alias(alias))
 
 
 def grand_total(grouped: DataFrame, count: str = "num_games") -> Column:
@@ -44,18 +46,18 @@ def grand_total(grouped: DataFrame, count: str = "num_games") -> Column:
 
 
 def share_of_total(
-    df: DataFrame, by: list[str], alias: str = "num_games", share: str = "win_perc"
+    df: DataFrame, by: list[str], alias: str = "num_games", share: str = "win_perc", weight: str | None = None
 ) -> DataFrame:
     """Rows per group and their percentage of all rows."""
-    grouped = counts(df, by, alias)
+    grouped = counts(df, by, alias, weight)
     return grouped.withColumn(share, F.lit(100.0) * F.col(alias) / grand_total(grouped, alias))
 
 
 def share_within(
-    df: DataFrame, within: list[str], by: list[str], alias: str = "num_games", share: str = "share"
+    df: DataFrame, within: list[str], by: list[str], alias: str = "num_games", share: str = "share", weight: str | None = None
 ) -> DataFrame:
     """Rows per group and their part of the rows that agree on ``within`` (a full stack)."""
-    grouped = counts(df, [*within, *by], alias)
+    grouped = counts(df, [*within, *by], alias, weight)
     totals = grouped.groupBy(*within).agg(F.sum(alias).alias("__total"))
     condition = F.lit(True)
     for key in within:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import functions as F
 
 from plyframe.operators import quality
 
@@ -50,3 +53,64 @@ def check_table(name: str, table: DataFrame) -> None:
     """Run the checks; the first that finds something fails the run."""
     for check, rows in offending(name, table).items():
         quality.require_empty(f"{name}: {check}", rows)
+
+
+# Rows with the same key adjoin wherever a table is hashed by these columns, as it is when it is written.
+WITHIN = {
+    "stg_player_games": ["game_uuid"],
+    "prep_player_games": ["game_uuid"],
+    "prep_game_moves": ["game_uuid", "id"],
+    "games": ["game_uuid"],
+}
+
+
+def metrics(name: str, copies: str | None = None) -> dict[str, Column]:
+    """Every check of table ``name`` as the number of rows that break it; ``copies`` numbers the rows of a key."""
+    found = {f"not_null:{c}": F.count_if(F.col(c).isNull()) for c in NOT_NULL[name]}
+    if copies:
+        found["unique"] = F.count_if((F.col(copies) == 2) & F.col(UNIQUE[name]).isNotNull())
+    if name == "stg_player_games":
+        found["accepted_rules"] = F.count_if(~F.col("rules").isin(RULES))
+    if name == "prep_player_games":
+        mated = (F.col("player_result") == "checkmated") | (F.col("opponent_result") == "checkmated")
+        plain = (F.col("player_result") != "checkmated") & (F.col("opponent_result") != "checkmated")
+        found["accepted_outcomes"] = F.count_if(~F.col("player_wdl").isin(OUTCOMES))
+        found["mate_without_pieces"] = F.count_if(mated & (F.size("checkmate_pieces") == 0))
+        found["pieces_without_mate"] = F.count_if(plain & (F.size("checkmate_pieces") > 0))
+    return found
+
+
+@dataclass
+class Watch:
+    """What a table's checks find while its rows pass on to where they are written."""
+
+    name: str
+    seen: Observation
+
+    def counts(self) -> dict[str, int]:
+        """Rows that break each check.  Asked for after the write; a repeated task may count a row twice, never a sound one."""
+        return {check: n or 0 for check, n in self.seen.get.items()}
+
+    def require_sound(self, table: DataFrame) -> None:
+        """Fail with examples if anything was found; only then is ``table`` read again, by the check in question."""
+        found = [check for check, n in self.counts().items() if n]
+        if found:
+            exact = offending(self.name, table)
+            for check in found:
+                quality.require_empty(f"{self.name}: {check.split(':')[0]}", exact[check.split(":")[0]])
+            raise quality.CheckFailed(f"{self.name}: {found}")
+
+
+def watched(name: str, table: DataFrame, unique: bool = True) -> tuple[DataFrame, Watch]:
+    """``table`` with its checks taken on the way, in the pass that writes it.
+
+    Uniqueness numbers the rows of each key: where the rows are already hashed by the key (or, for moves, by their game)
+    that is a sort inside each task and no exchange.  Without ``unique`` it is left to a later table of the same rows.
+    """
+    seen = Observation(f"{name}_checks")
+    if not unique:
+        return table.observe(seen, *[c.alias(n) for n, c in metrics(name).items()]), Watch(name, seen)
+    keys = WITHIN[name]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    numbered = table.withColumn("__copy", place)
+    return numbered.observe(seen, *[c.alias(n) for n, c in metrics(name, "__copy").items()]).drop("__copy"), Watch(name, seen)

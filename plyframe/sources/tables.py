@@ -41,6 +41,13 @@ def switch(spark: SparkSession, fresh: str, name: str) -> None:
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
 
 
+def show_as(spark: SparkSession, table: str, name: str) -> None:
+    """Let ``name`` be a view of ``table``, in one step; a table of that name, from before there were versions, goes."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
+
+
 def replace_files(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
     writer = df.write.mode("overwrite")
     if partition_by:
