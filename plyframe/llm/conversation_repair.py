@@ -15,7 +15,7 @@ between units are chosen.  The digest of the repaired text reads a conversation'
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -164,34 +164,51 @@ def numbered(rows: DataFrame, span: int = SPAN) -> DataFrame:
 PLAN = "conv_id long, unit long, n int, first string, last string, illegal long, costs array<long>, ranks array<int>, audits array<string>"
 
 
-def _unit(rows: pa.Table) -> pa.Table:
-    rows = rows.sort_by("place")
-    roles, faults = rows.column("initial").to_pylist(), rows.column("fault").to_pylist()
-    best = best_edits([r + f for r, f in zip(roles, faults, strict=True)])
+PLAN_SCHEMA = pa.schema(
+    [("conv_id", pa.int64()), ("unit", pa.int64()), ("n", pa.int32()), ("first", pa.string()), ("last", pa.string()), ("illegal", pa.int64()),
+     ("costs", pa.list_(pa.int64())), ("ranks", pa.list_(pa.int32())), ("audits", pa.list_(pa.string()))]
+)
+ROUTES = "conv_id long, unit long, chosen int, ending string, cost long, illegal long"
+ROUTE_SCHEMA = pa.schema([("conv_id", pa.int64()), ("unit", pa.int64()), ("chosen", pa.int32()), ("ending", pa.string()), ("cost", pa.int64()), ("illegal", pa.int64())])
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str], columns: list[str], schema: pa.Schema, of_group: Callable) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of their keys, handed on group by group; what the groups of a batch give is one batch."""
+    own, held, out = None, [], []
+    for batch in batches:
+        for key, row in zip(zip(*(batch.column(k).to_pylist() for k in keys), strict=True), zip(*(batch.column(c).to_pylist() for c in columns), strict=True), strict=True):
+            if key != own:
+                if own is not None:
+                    out += of_group(own, held)
+                own, held = key, []
+            held.append(row)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+            out = []
+    if own is not None:
+        out = of_group(own, held)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+
+def _unit(key: tuple, rows: list[tuple[str, str]]) -> list[tuple]:
+    """The plan of one unit from its rows' initials and faults."""
+    roles = [r for r, _ in rows]
     illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(roles, roles[1:], strict=False))
-    flat = [e for line in best for e in line]
+    flat = [e for line in best_edits([r + f for r, f in rows]) for e in line]
     order = sorted({e[1] for e in flat if e})
     ranks = [order.index(e[1]) if e else -1 for e in flat]
-    one = {
-        "conv_id": rows.column("conv_id")[:1], "unit": rows.column("unit")[:1], "n": pa.array([len(roles)], pa.int32()),
-        "first": pa.array([roles[0]]), "last": pa.array([roles[-1]]), "illegal": pa.array([illegal], pa.int64()),
-        "costs": pa.array([[e[0] if e else None for e in flat]], pa.list_(pa.int64())),
-        "ranks": pa.array([ranks], pa.list_(pa.int32())), "audits": pa.array([[e[1] if e else None for e in flat]], pa.list_(pa.string())),
-    }
-    return pa.table(one)
+    return [(*key, len(roles), roles[0], roles[-1], illegal, [e and e[0] for e in flat], ranks, [e and e[1] for e in flat])]
 
 
-def _route(units: pa.Table) -> pa.Table:
-    """(conv_id, unit, chosen, ending, cost, illegal): the cell of every unit's table that the best repair takes.
+def _route(key: tuple, units: list[tuple]) -> list[tuple]:
+    """The cell of every unit's table that the best repair of a conversation takes.
 
     From the last unit back, a state's best rest is a cost and a place in the order of the audits among the four states.
     """
-    units = units.sort_by("unit")
-    costs, ranks = units.column("costs").to_pylist(), units.column("ranks").to_pylist()
     ends = [min(((END[a][b][0], END[a][b][1], b) for b in FINAL if END[a][b]), default=None) for a in range(4)]
     rest = [None if e is None else (e[0], sorted({x[1] for x in ends if x}).index(e[1])) for e in ends]
     ways: list[list[int]] = []
-    for c, r in zip(reversed(costs), reversed(ranks), strict=True):
+    for _, _, _, _, c, r in reversed(units):
         found = [
             min(((c[4 * a + b] + rest[b][0], r[4 * a + b], rest[b][1], b) for b in range(4) if c[4 * a + b] is not None and rest[b] is not None), default=None)
             for a in range(4)
@@ -205,13 +222,18 @@ def _route(units: pa.Table) -> pa.Table:
     for way in ways:
         chosen.append(4 * state + way[state])
         state = way[state]
-    first, last, inner = (units.column(c).to_pylist() for c in ("first", "last", "illegal"))
-    illegal = sum(inner) + sum(a + b not in ("su", "ua", "au") for a, b in zip(last, first[1:], strict=False))
-    n = len(chosen)
-    ending = [""] * (n - 1) + [ends[state][1]]
-    total = sum(c[at] for c, at in zip(costs, chosen, strict=True)) + ends[state][0]
-    return pa.table({"conv_id": units.column("conv_id"), "unit": units.column("unit"), "chosen": pa.array(chosen, pa.int32()),
-                     "ending": pa.array(ending, pa.string()), "cost": pa.array([total] * n, pa.int64()), "illegal": pa.array([illegal] * n, pa.int64())})
+    illegal = sum(u[3] for u in units) + sum(a[2] + b[1] not in ("su", "ua", "au") for a, b in zip(units, units[1:], strict=False))
+    ending = [""] * (len(units) - 1) + [ends[state][1]]
+    total = sum(u[4][at] for u, at in zip(units, chosen, strict=True)) + ends[state][0]
+    return [(*key, u[0], at, end, total, illegal) for u, at, end in zip(units, chosen, ending, strict=True)]
+
+
+def _plans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _grouped(batches, ["conv_id", "unit"], ["initial", "fault"], PLAN_SCHEMA, _unit)
+
+
+def _routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _grouped(batches, ["conv_id"], ["unit", "first", "last", "illegal", "costs", "ranks"], ROUTE_SCHEMA, _route)
 
 
 class _Repaired:
@@ -291,10 +313,12 @@ def repair(conversations: DataFrame, span: int = SPAN) -> DataFrame:
     initial = F.substring("role", 1, 1)
     initial = F.when(initial.isin("s", "u", "a"), initial).otherwise("-")  # no other initial is ever legal
     small = rows.select("conv_id", "unit", "place", initial.alias("initial"), "fault")
-    units = written(small.groupBy("conv_id", "unit").applyInArrow(_unit, PLAN), "repair-units")
-    routes = "conv_id long, unit long, chosen int, ending string, cost long, illegal long"
+    # Rows are small and the search is work: the number of tasks is that of the session, not one by their bytes.
+    tasks = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = small.repartition(tasks, "conv_id", "unit").sortWithinPartitions("conv_id", "unit", "place")
+    units = written(dealt.mapInArrow(_plans, PLAN), "repair-units")
     plain = units.select("conv_id", "unit", "first", "last", "illegal", "costs", "ranks")
-    routed = written(plain.groupBy("conv_id").applyInArrow(_route, routes), "repair-routes")
+    routed = written(plain.repartition(tasks, "conv_id").sortWithinPartitions("conv_id", "unit").mapInArrow(_routes, ROUTES), "repair-routes")
     edits = units.alias("u").join(routed.alias("r"), F.col("u.conv_id").eqNullSafe(F.col("r.conv_id")) & (F.col("u.unit") == F.col("r.unit")))
     heads = edits.select(F.col("u.conv_id").alias("conv_id"), F.col("u.unit").alias("unit"), F.lit(0).alias("place"), F.element_at("audits", F.col("chosen") + 1).alias("edits"), "ending")
     told = rows.select("conv_id", "unit", "place", "role", "text").unionByName(heads, allowMissingColumns=True)
