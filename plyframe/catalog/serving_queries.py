@@ -16,7 +16,7 @@ from plyframe.operators import ranking
 from plyframe.plans import analyses as an
 from plyframe.plans import checks, cube, openings
 from plyframe.session import configure
-from plyframe.sources import versions
+from plyframe.sources import drift, versions
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -235,3 +235,49 @@ def calendar_age_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM (SELECT o_orderkey, CAST(timestamp_seconds(unix_timestamp(CAST(o_orderdate AS TIMESTAMP)) + o_orderkey * 37 % 86400) AS TIMESTAMP_NTZ) AS at FROM {orders})""",
         orders=table(spark, sf_dir, "orders"),
     )
+
+
+# --- records that drift -----------------------------------------------------------------
+
+PROPS = [drift.Path("k", "$.k", "bigint", required=True), drift.Path("w", "$.w", "double")]
+_DRIFTED = """e AS (SELECT event_id, CASE WHEN event_id % 13 = 0 THEN '{"k": ' WHEN event_id % 11 = 0 THEN '{"k": "v' || user_id || '"}'
+  WHEN event_id % 7 = 0 THEN replace(props, '}', ', "src": "app", "w": 1.5}') WHEN event_id % 5 = 0 THEN '{"w": null}' ELSE props END AS text FROM events),
+j AS (SELECT event_id, text::JSON AS doc FROM e WHERE json_valid(text))"""
+
+
+def drifted(events: DataFrame) -> DataFrame:
+    """Events whose records changed shape: cut off, of another type, with new fields, without a required one."""
+    key = F.col("event_id")
+    text = (
+        F.when(key % 13 == 0, '{"k": ')
+        .when(key % 11 == 0, F.concat(F.lit('{"k": "v'), F.col("user_id").cast("string"), F.lit('"}')))
+        .when(key % 7 == 0, F.replace("props", F.lit("}"), F.lit(', "src": "app", "w": 1.5}')))
+        .when(key % 5 == 0, '{"w": null}')
+        .otherwise(F.col("props"))
+    )
+    return events.select("event_id", text.alias("text"))
+
+
+@query(
+    f"""WITH {_DRIFTED}, f AS (SELECT unnest(json_keys(doc)) AS field, doc FROM j)
+    SELECT field, CASE json_type(doc, field) WHEN 'VARCHAR' THEN 'STRING' WHEN 'DOUBLE' THEN 'DECIMAL(2,1)' WHEN 'NULL' THEN 'VOID' ELSE 'BIGINT' END AS found,
+      CASE field WHEN 'k' THEN 'bigint' WHEN 'w' THEN 'double' END AS expected, count(*) AS records FROM f GROUP BY ALL"""
+)
+def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return drift.report(drifted(table(spark, sf_dir, "events")), "text", PROPS)
+
+
+@query(
+    f"""WITH {_DRIFTED}, c AS (
+      SELECT CASE WHEN NOT json_valid(text) THEN 'unreadable' WHEN json_type(text, 'k') IS NULL THEN 'k: missing'
+                  WHEN json_type(text, 'k') = 'VARCHAR' THEN 'k: STRING for bigint' ELSE '' END AS problems,
+             CASE WHEN json_valid(text) THEN try_cast(text->>'$.k' AS BIGINT) END AS k, CASE WHEN json_valid(text) THEN (text->>'$.w')::DOUBLE END AS w FROM e)
+    SELECT problems, count(*) AS records, coalesce(sum(k) FILTER (problems = ''), 0)::BIGINT AS k_total, count(w) FILTER (problems = '') AS with_w FROM c GROUP BY 1"""
+)
+def drift_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    sound, aside = drift.split(drifted(table(spark, sf_dir, "events")), "text", PROPS)
+    kept = sound.agg(F.lit("").alias("problems"), F.count("*").alias("records"), F.coalesce(F.sum("k"), F.lit(0)).alias("k_total"), F.count("w").alias("with_w"))
+    gone = aside.groupBy(F.array_join("problems", "; ").alias("problems")).agg(F.count("*").alias("records"), F.lit(0).cast("long").alias("k_total"), F.lit(0).cast("long").alias("with_w"))
+    return kept.unionByName(gone)
