@@ -13,6 +13,7 @@ def pieces(spark, *rows):
     return [r.checkmate_pieces for r in sorted(found, key=lambda r: int(r.game_uuid))]
 
 
+# Fixed value: a mate position.
 MATE = "8/8/4R2p/3P2pk/8/5r1K/3r4/8 w - -"
 
 

@@ -25,6 +25,7 @@ def test_part_is_one_based_and_null_out_of_range(spark):
 
 def test_time_controls(spark):
     rows = spark.createDataFrame(
+        # Formats of time controls.
         [("daily", "1/259200"), ("daily", "1/216000"), ("blitz", "180+2"), ("rapid", "600")], "k string, c string"
     )
     k, c = F.col("k"), F.col("c")
@@ -52,6 +53,7 @@ def test_binned(spark):
 
 
 def test_moves_and_clocks_by_pattern(spark):
+    # Fixed value: the golden game's beginning.
     moves = F.lit("1. e4 {[%clk 0:24:55.5]} 1... g6 {[%clk 0:24:03.5]} 2. Nf3 1-0")
     assert value(spark, tx.all_matches(moves, tx.NUMBERED_MOVE)) == ["1. e4", "1... g6", "2. Nf3"]
     assert value(spark, tx.all_matches(moves, tx.CLOCK_NOTE)) == ["{[%clk 0:24:55.5]}", "{[%clk 0:24:03.5]}"]

@@ -19,6 +19,7 @@ from plyframe.plans.staging import COLUMNS as STAGED
 from plyframe.plans.staging import stage_games
 from plyframe.sources import contract, landing, tables
 
+# Final position and headers of the golden game.
 FINAL = "8/pp5p/1k1pN1pB/1Q1P4/3q2n1/2N5/PPP2PPP/6K1 b - - 2 28"
 
 
