@@ -178,9 +178,10 @@ class Tokenizer:
                     if stretch.isalpha():
                         found = self.encode_word(stretch)
                     else:
-                        found = ()
+                        several: list[int] = []
                         for word in self.words.findall(stretch):
-                            found += held.get(word) or self._hold(word, self.encode_word(word))
+                            several += held.get(word) or self._hold(word, self.encode_word(word))
+                        found = tuple(several)
                     self._hold(stretch, found)
                 ids += found
             if token is not None:

@@ -6,13 +6,18 @@ page's order, and multiplied.  Paths whose fused ratio passes the page's thresho
 What the page itself names (article, main; nav, footer, advert or comment classes and the like) enters as
 a prior: the ratio of a path below a boilerplate name is zero, and the paths of a named article share its mean ratio, weighted
 by length and times BONUS, if that is more than their own.  So headings go with their article, and the threshold decides on all.
+A form that holds most of the page's text is the page and no form.  Around an unnamed body, headings, lists, tables and quotes stand on
+paths of their own with short texts: such a path goes with a chosen one if it hangs from the same element, unless it is mostly links.
+
+Paths are numbers in a trie of steps and open elements are found by name, so a page takes time and memory in proportion to
+its length, however deep it is.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +37,7 @@ CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"t
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": set()}
 
 # Own values: names of what is not the article.
-NOT_CONTENT = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "head", "search"}
+NOT_CONTENT = {"nav", "footer", "aside", "menu", "dialog", "button", "head", "search"}
 BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|footer|header|masthead|cookies?|consent|"
     r"notices?|newsletter|subscribe|signup|login|popup|modal|share|social|related|recommend\w*|comments?|replies|disqus|respond|widget|pagination|pager)(?:$|[\s_-])"
@@ -46,45 +51,70 @@ BONUS = 3.0  # on the mean ratio of a named article
 KEEP = 0.35  # a path is content from this share of the page's spread of ratios on
 
 
+INNER = set("blockquote caption cite dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup li ol p pre summary table tbody td tfoot th thead tr ul".split())
+MOST = 0.5  # part of a page's text that makes a form the page, and part of a path's text that makes it links
+
+
 class Block:
-    __slots__ = ("linked", "named", "path", "prior", "text")
+    """A text with its path; ``prior`` is 1 within a named article, -1 within boilerplate, else 0.
+
+    ``named`` is the path of the innermost article, ``form`` the number of the outermost form, 0 outside any,
+    and ``holder`` the path of the nearest element around that is more than a heading, paragraph, list, table or quote.
+    """
+
+    __slots__ = ("form", "holder", "linked", "named", "path", "prior", "text")
+
+    def __init__(self, path: int, prior: int, text: str, linked: int, named: int = 0, form: int = 0, holder: int = 0) -> None:
+        self.path, self.prior, self.text, self.linked, self.named, self.form, self.holder = path, prior, text, linked, named, form, holder
+
 
-    def __init__(self, path: tuple[str, ...], prior: int, text: str, linked: int, named: int = 0) -> None:
-        self.path, self.prior, self.text, self.linked, self.named = path, prior, text, linked, named
+class Open:
+    """An open element: its path, prior, innermost article's path, outermost form and holder."""
+
+    __slots__ = ("form", "holder", "inner", "mark", "name", "path")
+
+    def __init__(self, name: str, path: int, mark: int, inner: int, form: int, holder: int) -> None:
+        self.name, self.path, self.mark, self.inner, self.form, self.holder = name, path, mark, inner, form, holder
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's text blocks in order; prior is 1 within a named article, -1 within boilerplate, else 0; named is the length of the article's own path."""
+    """The page's text blocks in order."""
     found: list[Block] = []
-    stack: list[tuple[str, str, int, int]] = []  # name, step of the path, prior, length of the innermost article's path
+    root = Open("", 0, 0, 0, 0, 0)
+    stack = [root]
+    places: dict[str, list[int]] = {}  # of the open elements, by name
+    blocks_at: list[int] = []  # places of the open block-level elements
+    paths: dict[tuple[int, str], int] = {}  # (path, step) to the longer path
     pieces: list[str] = []
-    linked, path, prior, named = 0, (), 0, 0
+    linked, forms, of = 0, 0, root
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            found.append(Block(path, prior, text, linked, named))
+            found.append(Block(of.path, of.mark, text, linked, of.inner, of.form, of.holder))
         pieces.clear()
         linked = 0
 
     def add(text: str) -> None:
-        nonlocal path, prior, linked, named
-        if not pieces or not path:
-            path = tuple(x[1] for x in stack)
-            prior, named = stack[-1][2:] if stack else (0, 0)
-        if any(x[0] == "a" for x in stack[-6:]):
+        nonlocal of, linked
+        if not pieces:
+            of = stack[-1]
+        if places.get("a"):
             linked += len(text)
         pieces.append(text)
 
-    def close(names: set[str], within: set[str]) -> None:
-        """Close the innermost of ``names``, unless one of ``within`` stands before it."""
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                del stack[i:]
-                return
-            if stack[i][0] in within:
-                return
+    def innermost(names: Iterable[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
+    def close(names: set[str], barrier: int) -> None:
+        """Close the innermost of ``names`` that stands behind the place ``barrier``, and all within it."""
+        at = innermost(names)
+        while at > barrier and len(stack) > at:
+            gone = stack.pop().name
+            places[gone].pop()
+            if gone in BLOCK:
+                blocks_at.pop()
 
     at, end = 0, len(page)
     while at < end:
@@ -118,8 +148,7 @@ def blocks(page: str) -> list[Block]:
         if name in BLOCK:
             flush()
         if closing:
-            if name == "p" or name in BLOCK or any(x[0] == name for x in stack[-8:]):
-                close({name}, set() if name in BLOCK else BLOCK)
+            close({name}, 0 if name in BLOCK else blocks_at[-1] if blocks_at else 0)
             continue
         if name == "br":
             add(" ")
@@ -132,12 +161,13 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in VOID:
             continue
-        if name in BLOCK and any(x[0] == "p" for x in stack):
-            close({"p"}, {"td", "th", "button", "caption", "table"})
+        if name in BLOCK:
+            close({"p"}, innermost(("td", "th", "button", "caption", "table")))
         if name in CLOSES_ITSELF:
-            close(CLOSES_ITSELF[name], SCOPES[name])
+            close(CLOSES_ITSELF[name], innermost(SCOPES[name]))
         own = {k.lower(): (v or "").strip("\"'").lower() for k, v in NAMED.findall(attributes)} if attributes else {}
-        before = stack[-1][2] if stack else 0
+        around = stack[-1]
+        before = around.mark
         said = f"{own.get('class', '')} {own.get('id', '')}".strip()
         role = own.get("role", "")
         if before < 0 or name in NOT_CONTENT or "hidden" in own or own.get("aria-hidden") == "true":
@@ -153,18 +183,38 @@ def blocks(page: str) -> list[Block]:
         else:
             mark = before
         own_article = mark > 0 and (name in ("article", "main") or role in ("main", "article"))
-        inner = len(stack) + 1 if own_article else stack[-1][3] if stack else 0
         if not attributes.endswith("/") or name in BLOCK:
-            stack.append((name, f"{name}.{said.split()[0]}" if said else name, mark, inner))
+            path = paths.setdefault((around.path, f"{name}.{said.split()[0]}" if said else name), len(paths) + 1)
+            form = around.form
+            if name == "form" and not form:
+                forms += 1
+                form = forms
+            places.setdefault(name, []).append(len(stack))
+            if name in BLOCK:
+                blocks_at.append(len(stack))
+            stack.append(Open(name, path, mark, path if own_article else around.inner, form, path if name in BLOCK and name not in INNER else around.holder))
     flush()
     return found
 
 
+def _without_forms(found: list[Block]) -> None:
+    """Text of a form is boilerplate, unless the form holds most of what is not boilerplate anyway."""
+    sizes: dict[int, int] = {}
+    for b in found:
+        if b.prior >= 0:
+            sizes[b.form] = sizes.get(b.form, 0) + len(b.text)
+    most = MOST * sum(sizes.values())
+    for b in found:
+        if b.form and sizes.get(b.form, 0) <= most:
+            b.prior = -1
+
+
 def content(found: list[Block]) -> list[Block]:
-    """Blocks on the paths whose fused, smoothed ratio passes the threshold."""
+    """Blocks on the paths whose fused, smoothed ratio passes the threshold, and those that go with them."""
     if not found:
         return []
-    groups: dict[tuple[str, ...], list[float]] = {}
+    _without_forms(found)
+    groups: dict[int, list[float]] = {}
     for b in found:
         g = groups.setdefault(b.path, [0.0, 0.0, 0.0, 0.0])
         g[0] += len(b.text)
@@ -177,19 +227,21 @@ def content(found: list[Block]) -> list[Block]:
     fused = smooth.prod(axis=1)
     priors = np.array([b.prior for b in found])
     fused[priors < 0] = 0.0
-    articles: dict[tuple[str, ...], list[int]] = {}
+    articles: dict[int, list[int]] = {}
     for i, b in enumerate(found):
         if b.prior > 0:
-            articles.setdefault(b.path[: b.named], []).append(i)
+            articles.setdefault(b.named, []).append(i)
     for where in articles.values():
         sizes = [len(found[i].text) for i in where]
         fused[where] = np.maximum(fused[where], BONUS * np.average(fused[where], weights=sizes))
     limit = KEEP * fused.std()
-    best: dict[tuple[str, ...], list[float]] = {}
+    best: dict[int, list[float]] = {}
     for b, x in zip(found, fused, strict=True):
         best.setdefault(b.path, []).append(x)
     chosen = {p for p, xs in best.items() if max(xs) > 0 and np.mean(xs) >= limit}
-    return [b for b, x in zip(found, fused, strict=True) if b.path in chosen and x > 0]
+    holders = {b.holder for b in found if b.path in chosen and b.prior == 0}
+    beside = {b.path for b in found if b.holder in holders and b.path != b.holder and groups[b.path][2] <= MOST * groups[b.path][0]}
+    return [b for b, x in zip(found, fused, strict=True) if b.prior >= 0 and (x > 0 and b.path in chosen or b.prior == 0 and b.path in beside)]
 
 
 def main_text(page: str | None) -> str:
