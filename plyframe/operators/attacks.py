@@ -92,51 +92,64 @@ def winner_color(player_color: Column, player_result: Column) -> Column:
     return F.when(player_result == "win", player_color).otherwise(other)
 
 
+def king_zones(spark: SparkSession) -> DataFrame:
+    """(white_won, king, threats): per colour and square of the mated king, the winner's edges to it and its neighbours.
+
+    128 rows whatever the data, safe to broadcast; a threat is (piece, from_square, to_square, between).
+    """
+    edges = geometry(spark).withColumn("white_won", F.col("piece") == F.upper("piece"))
+    target, king = F.col("to_square"), F.col("king")
+    beside = (F.abs(F.floor(target / 8) - F.floor(king / 8)) <= 1) & (F.abs(target % 8 - king % 8) <= 1)
+    threat = F.struct("piece", "from_square", "to_square", "between")
+    near = edges.withColumn("king", F.explode(F.sequence(F.lit(0), F.lit(63)))).where(beside)
+    return near.groupBy("white_won", "king").agg(F.collect_list(threat).alias("threats"))
+
+
+def _mated(games: DataFrame, position: str) -> DataFrame:
+    """``games`` with ``found``: sorted names of the pieces that hold a mated king, NULL if none is attacked.
+
+    The attack graph of one position is looked up in the row itself, in the edges that end at or beside the
+    king, so games are neither shuffled nor joined back, however wide.
+    """
+    winner = winner_color(F.col("player_color"), F.col("player_result"))
+    mated = (F.col("player_result") == "checkmated") | (F.col("opponent_result") == "checkmated")
+    king = F.instr("__board", F.when(F.col("__white_won"), "k").otherwise("K")) - 1
+    own = games.withColumns({"__board": F.when(mated, squares(F.col(position))), "__white_won": winner == "White"})
+    own = own.withColumns({"__king": king, "__occupied": occupied_bits(F.col("__board"))})
+    zones = king_zones(games.sparkSession).select(F.col("white_won").alias("__white_won"), F.col("king").alias("__king"), F.col("threats").alias("__threats"))
+    own = own.join(F.broadcast(zones), ["__white_won", "__king"], "left")
+
+    def holds(edge: Column) -> Column:
+        """The piece stands there, its way is free, and it reaches the king or a square not held by one of his men."""
+        holder = F.substring("__board", edge["to_square"] + 1, F.lit(1))
+        free = (holder == ".") | ((holder == F.upper(holder)) == F.col("__white_won"))
+        stands = F.substring("__board", edge["from_square"] + 1, F.lit(1)) == edge["piece"]
+        return stands & (edge["between"].bitwiseAND(F.col("__occupied")) == 0) & ((edge["to_square"] == F.col("__king")) | free)
+
+    own = own.withColumn("__edges", F.filter("__threats", holds))
+    names = F.create_map(*[F.lit(x) for p in NAMES.items() for x in p])
+    pieces = F.array_distinct(F.transform("__edges", lambda e: F.struct(e["piece"], e["from_square"])))
+    found = F.array_sort(F.transform(pieces, lambda p: F.element_at(names, F.lower(p["piece"]))))
+    attacked = F.exists("__edges", lambda e: e["to_square"] == F.col("__king"))
+    return own.withColumn("found", F.when(attacked, found))
+
+
 def mating_pieces(games: DataFrame, keys: list[str], position: str = "fen") -> DataFrame:
     """``checkmate_pieces`` per mated game: sorted names of the pieces that hold the king.
 
     Those are the winner's attackers of the mated king's square, or of a neighbouring
     square not held by one of his own men.  A game not flagged as mated, or whose king is
-    not attacked, gives no row.  A group holds at most 16 pieces, so sets stay small.
+    not attacked, gives no row.
     """
-    winner = winner_color(F.col("player_color"), F.col("player_result"))
-    board = squares(F.col(position))
-    king = F.when(winner == "White", F.instr(board, "k")).otherwise(F.instr(board, "K")) - 1
-    mated = games.filter(
-        (F.col("player_result") == "checkmated") | (F.col("opponent_result") == "checkmated")
-    ).select(*keys, position, (winner == "White").alias("white_won"), king.alias("king"))
-
-    target, holder = F.col("to_square"), F.col("held_by")
-    beside = (F.abs(F.floor(target / 8) - F.floor(F.col("king") / 8)) <= 1) & (
-        F.abs(target % 8 - F.col("king") % 8) <= 1
-    )
-    free = holder.isNull() | ((holder == F.upper(holder)) == F.col("white_won"))
-    name = F.lower("piece")
-    attackers = (
-        attack_graph(mated, [*keys, "white_won", "king"], position)
-        .filter((F.col("piece") == F.upper("piece")) == F.col("white_won"))
-        .filter((target == F.col("king")) | (beside & free))
-        .withColumn("name", F.element_at(F.create_map(*[F.lit(x) for p in NAMES.items() for x in p]), name))
-    )
-    return (
-        attackers.groupBy(*keys)
-        .agg(
-            F.collect_set(F.struct("name", "from_square")).alias("pieces"),
-            F.bool_or(target == F.col("king")).alias("in_check"),
-        )
-        .filter("in_check")
-        .select(*keys, F.array_sort(F.col("pieces.name")).alias("checkmate_pieces"))
-    )
+    flagged = (F.col("player_result") == "checkmated") | (F.col("opponent_result") == "checkmated")
+    facts = games.filter(flagged).select(*keys, position, "player_color", "player_result", "opponent_result")
+    return _mated(facts, position).where(F.col("found").isNotNull()).select(*keys, F.col("found").alias("checkmate_pieces"))
 
 
 def with_mating_pieces(games: DataFrame, keys: list[str], position: str = "fen") -> DataFrame:
-    """Left-join the mating pieces; ``[]`` where there are none, NULL where an input is NULL."""
+    """Add the mating pieces; ``[]`` where there are none, NULL where an input is NULL."""
     known = F.lit(True)
     for column in (position, "player_color", "player_result", "opponent_result"):
         known = known & F.col(column).isNotNull()
-    # The small side is built into a hash table so the wide rows need no sort.
-    found = mating_pieces(games, keys, position).hint("shuffle_hash")
-    return games.join(found, keys, "left").withColumn(
-        "checkmate_pieces",
-        F.when(known, F.coalesce("checkmate_pieces", F.array().cast("array<string>"))),
-    )
+    pieces = F.when(known, F.coalesce("found", F.array().cast("array<string>")))
+    return _mated(games, position).select(*games.columns, pieces.alias("checkmate_pieces"))
