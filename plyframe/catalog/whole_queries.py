@@ -112,6 +112,6 @@ def games_mart_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def game_moves_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of the per-move table but those about the board, which are NULL without positions."""
-    moves = prepare_moves(store.games(spark, sf_dir), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    moves = prepare_moves(store.games(spark, sf_dir))
     board = ["captured_piece", "fen", "major_minor_cnt", "black_major_minor", "white_major_minor", "is_backrank_sparse", "is_midgame", "is_endgame", "game_phase"]
     return moves.drop(*board)
