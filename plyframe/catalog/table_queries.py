@@ -62,10 +62,14 @@ def landing_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year(ended).alias("year"),
         F.month(ended).alias("month"),
     )
-    # A month's records are spread over several files.
-    documents.repartition("year", "month", F.pmod(F.xxhash64("games.uuid"), F.lit(8))).write.mode("overwrite").partitionBy(
-        "username", "year", "month"
-    ).json(root)
+    # A task keeps a file open for each month, so the wide documents are neither shuffled nor sorted; a month's records are spread over several files.
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    former = spark.conf.get(writers)
+    spark.conf.set(writers, "200")
+    try:
+        documents.write.mode("overwrite").partitionBy("username", "year", "month").option("compression", "gzip").json(root)
+    finally:
+        spark.conf.set(writers, former)
     games = landing.read_games(spark, root, "archivist")
     return games.groupBy("rules", F.year(F.timestamp_seconds("end_time")).alias("year")).agg(
         F.count(F.lit(1)).alias("games")
