@@ -95,12 +95,14 @@ def winner_color(player_color: Column, player_result: Column) -> Column:
 def king_zones(spark: SparkSession) -> DataFrame:
     """(white_won, king, threats): per colour and square of the mated king, the winner's edges to it and its neighbours.
 
-    128 rows whatever the data, safe to broadcast; a threat is (piece, from_square, to_square, between).
+    128 rows whatever the data, safe to broadcast; a threat is (piece, from_square, to_square, between, needed),
+    ``needed`` the bit of the square the piece stands on.
     """
     edges = geometry(spark).withColumn("white_won", F.col("piece") == F.upper("piece"))
     target, king = F.col("to_square"), F.col("king")
     beside = (F.abs(F.floor(target / 8) - F.floor(king / 8)) <= 1) & (F.abs(target % 8 - king % 8) <= 1)
-    threat = F.struct("piece", "from_square", "to_square", "between")
+    bits = F.array(*[F.lit(_signed(_bit(square))) for square in range(64)])
+    threat = F.struct("piece", "from_square", "to_square", "between", F.get(bits, "from_square").alias("needed"))
     near = edges.withColumn("king", F.explode(F.sequence(F.lit(0), F.lit(63)))).where(beside)
     return near.groupBy("white_won", "king").agg(F.collect_list(threat).alias("threats"))
 
@@ -116,6 +118,8 @@ def _mated(games: DataFrame, position: str) -> DataFrame:
     king = F.instr("__board", F.when(F.col("__white_won"), "k").otherwise("K")) - 1
     own = games.withColumns({"__board": F.when(mated, squares(F.col(position))), "__white_won": winner == "White"})
     own = own.withColumns({"__king": king, "__occupied": occupied_bits(F.col("__board"))})
+    men = F.when(F.col("__white_won"), F.translate("__board", "pnbrqk", "......")).otherwise(F.translate("__board", "PNBRQK", "......"))
+    own = own.withColumn("__men", occupied_bits(men))
     zones = king_zones(games.sparkSession).select(F.col("white_won").alias("__white_won"), F.col("king").alias("__king"), F.col("threats").alias("__threats"))
     own = own.join(F.broadcast(zones), ["__white_won", "__king"], "left")
 
@@ -124,7 +128,9 @@ def _mated(games: DataFrame, position: str) -> DataFrame:
         holder = F.substring("__board", edge["to_square"] + 1, F.lit(1))
         free = (holder == ".") | ((holder == F.upper(holder)) == F.col("__white_won"))
         stands = F.substring("__board", edge["from_square"] + 1, F.lit(1)) == edge["piece"]
-        return stands & (edge["between"].bitwiseAND(F.col("__occupied")) == 0) & ((edge["to_square"] == F.col("__king")) | free)
+        # Bits first: most threats start from a square without a man of the winner and end there.
+        near = (edge["needed"].bitwiseAND(F.col("__men")) != 0) & (edge["between"].bitwiseAND(F.col("__occupied")) == 0)
+        return near & stands & ((edge["to_square"] == F.col("__king")) | free)
 
     own = own.withColumn("__edges", F.filter("__threats", holds))
     names = F.create_map(*[F.lit(x) for p in NAMES.items() for x in p])
