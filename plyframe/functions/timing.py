@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 WEEKDAYS = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 
+CLOCK = r"\d+:\d+:\d+(\.\d+)?"
 DAY = 86400
 MONTH = 30 * DAY
 YEAR = 31557600  # 365.25 days
@@ -16,12 +17,24 @@ YEAR = 31557600  # 365.25 days
 
 def clock_seconds(text: Column) -> Column:
     """Seconds of the first ``H:MM:SS(.f)`` in ``text`` (hours may pass 24); NULL if none."""
-    clock = F.split(F.nullif(F.regexp_extract(text, r"\d+:\d+:\d+(\.\d+)?", 0), F.lit("")), ":")
+    clock = F.split(F.nullif(F.regexp_extract(text, CLOCK, 0), F.lit("")), ":")
     return (
         clock[0].cast("double") * 3600 + clock[1].cast("double") * 60 + clock[2].cast("double")
     )
 
 
+def clocks_seconds(texts: Column) -> Column:
+    """``clock_seconds`` of every text of a list.
+
+    The functions of a list are interpreted, without shared parts: each step is a list of its own, so that a
+    text is searched and cut once.
+    """
+    found = F.transform(texts, lambda x: F.regexp_extract(x, CLOCK, 0))
+    parts = F.transform(found, lambda x: F.split(x, ":"))
+    seconds = lambda p: p[0].cast("double") * 3600 + p[1].cast("double") * 60 + p[2].cast("double")
+    return F.transform(parts, lambda p: F.when(F.size(p) == 3, seconds(p)))
+
+
 @dataclass(frozen=True)
 class Age:
     """Field-wise difference of two timestamps, each field with the sign of the whole."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plyframe.functions.numbers import round_to
 from plyframe.functions.positions import lost_letter, phase_ladder, piece_counts
 from plyframe.functions.text import joined, list_text, move_tokens, part
-from plyframe.functions.timing import clock_seconds
+from plyframe.functions.timing import clocks_seconds
 
 GAME = "game_uuid"
 FACTS = ["rules", "time_class", "time_control_base", "time_control_add_seconds", "player_color"]
@@ -49,7 +49,7 @@ def explode_moves(games: DataFrame, partitions: int | None = None) -> DataFrame:
     texts = games.select(GAME, *FACTS, "pgn_header", "pgn_moves", F.col("pgn_clock_extract").alias("clocks"))
     if partitions:
         texts = texts.repartition(partitions, GAME)
-    lists = texts.withColumns({"moves": move_tokens(F.col("pgn_moves")), "clocks": F.transform("clocks", clock_seconds)})
+    lists = texts.withColumns({"moves": move_tokens(F.col("pgn_moves")), "clocks": clocks_seconds(F.col("clocks"))})
     noted = lists.withColumn("numbered", F.transform(F.arrays_zip("moves", "clocks"), lambda pair, place: _numbered(pair["moves"], place, F.size("moves"))))
     paired = noted.select(
         GAME,

@@ -2,8 +2,12 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from plyframe.catalog import archive, game_queries, store
-from plyframe.operators.attacks import with_mating_pieces
+from plyframe.functions.text import header_block, move_block
+from plyframe.functions.timing import clock_seconds, clocks_seconds
+from plyframe.operators.attacks import king_zones, with_mating_pieces
 from plyframe.plans import checks
 from plyframe.plans.game_moves import prepare_moves
 
@@ -51,3 +55,30 @@ def test_fixed_lines_are_those_of_the_setups(spark):
     rows = archive._line_rows()
     assert len(rows) == (36 + len(archive.TACTICS)) * archive.VARIANTS
     assert rows[0][1].startswith("1. e4 e5 2. d3 d6") and rows[1][1].startswith("1. e4 {[%clk 0:00:59.7]} 1... e5 {[%clk 0:00:59.7]} 2. d3 {[%clk 0:00:59.4]}")
+
+
+def test_spelt_moves_are_no_function_of_a_list(spark):
+    records = store.records(spark, FOLDER)
+    steps = records._jdf.queryExecution().optimizedPlan().toString()
+    lists = [line for line in steps.split("\n") if "transform(" in line]
+    assert lists and not any("[,N,B,R,Q]" in line for line in lists)
+
+
+def test_threats_carry_the_bit_of_their_square(spark):
+    threats = king_zones(spark).first()["threats"]
+    assert threats and all(t["needed"] % (1 << 64) == 1 << (63 - t["from_square"]) for t in threats)
+
+
+def test_clocks_of_a_list_are_those_of_its_texts(spark):
+    texts = ["{[%clk 1:02:03.5]}", "{[%clk 100:00:00]}", "none", "", None, "0:00:59.9 1:00:00"]
+    df = spark.createDataFrame([(texts,), ([],), (None,)], "t array<string>")
+    got = [x.s for x in df.select(clocks_seconds(F.col("t")).alias("s")).collect()]
+    each = df.limit(1).select(F.explode("t").alias("x")).select(clock_seconds(F.col("x")).alias("s"))
+    assert got == [[x.s for x in each.collect()], [], None] and got[0][2:5] == [None] * 3
+
+
+def test_blocks_of_a_text(spark):
+    texts = ["a\n\nb\n\nc", "a\n\nb", "a", "", None, "\n\nb", "a\n\n", "é\n\nü\n\n", "a\n\n\nb"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    got = [tuple(x) for x in df.select(header_block(F.col("t")), move_block(F.col("t"))).collect()]
+    assert got == [("a", "b"), ("a", "b"), ("a", None), ("", None), (None, None), ("", "b"), ("a", ""), ("é", "ü"), ("a", "\nb")]
