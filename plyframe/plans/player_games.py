@@ -11,6 +11,15 @@ from plyframe.operators.attacks import with_mating_pieces
 from plyframe.operators.perspective import both_sides, outcome, outcome_reason
 
 
+def moves_text(extract: Column) -> Column:
+    return F.coalesce(tx.list_text(extract), F.lit(""))
+
+
+def game_link(extract: Column, color: Column) -> Column:
+    """Analysis link of a game, from its numbered moves and the player's colour."""
+    return tx.analysis_url(moves_text(extract), color)
+
+
 def describe_games(staged: DataFrame, username: str | Column) -> DataFrame:
     """Everything that needs only the game's own row: no shuffle.
 
@@ -27,7 +36,6 @@ def describe_games(staged: DataFrame, username: str | Column) -> DataFrame:
     own, other = sides["player_result"], sides["opponent_result"]
     moves = tx.move_block(c("pgn"))
     extract = tx.all_matches(moves, tx.NUMBERED_MOVE)
-    extract_text = F.coalesce(tx.list_text(extract), F.lit(""))
     eco_url = tx.header(c("pgn"), "ECOUrl")
     start_date = tm.dotted_date(tx.header(c("pgn"), "UTCDate"))
     start_time = tx.header(c("pgn"), "StartTime")
@@ -48,8 +56,8 @@ def describe_games(staged: DataFrame, username: str | Column) -> DataFrame:
             "pgn_moves": moves,
             "pgn_move_extract": extract,
             "pgn_clock_extract": tx.all_matches(moves, tx.CLOCK_NOTE),
-            "pgn_move_extract_string": extract_text,
-            "game_analysis_url": tx.analysis_url(extract_text, color),
+            "pgn_move_extract_string": moves_text(extract),
+            "game_analysis_url": game_link(extract, color),
             "eco": tx.header(c("pgn"), "ECO"),
             "eco_url": eco_url,
             "eco_name": F.replace(eco_url, F.lit(tx.OPENING_SITE), F.lit("")),

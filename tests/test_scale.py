@@ -10,6 +10,7 @@ from plyframe.functions.timing import clock_seconds, clocks_seconds
 from plyframe.operators.attacks import king_zones, with_mating_pieces
 from plyframe.plans import checks
 from plyframe.plans.game_moves import prepare_moves
+from plyframe.plans.games import build_games
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -46,6 +47,16 @@ def test_analysed_mart_has_no_texts(spark):
     assert not {"pgn", "pgn_moves", "tcn"} & set(store.mart(spark, FOLDER).columns)
 
 
+def test_written_mart_holds_each_text_once(spark):
+    """The link repeats the moves: it is not written, but read as the whole mart has it."""
+    mart = store.mart(spark, FOLDER)
+    written = spark.read.parquet(store.folder(spark, FOLDER, "games"))
+    assert "pgn_move_extract" in written.columns and not {"game_analysis_url", "game_end_timestamp"} & set(written.columns)
+    whole = build_games(store.games(spark, FOLDER), store.moves(spark, FOLDER))
+    columns = mart.columns
+    assert mart.count() == whole.count() and whole.select(*columns).exceptAll(mart).isEmpty()
+
+
 def test_repeated_keys(spark):
     rows = [("a",), ("a",), ("a",), ("b",), (None,), (None,)]
     assert checks.repeated_keys("prep_player_games", spark.createDataFrame(rows, "game_uuid string")) == 1
