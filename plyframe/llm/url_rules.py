@@ -7,14 +7,15 @@ held by at least ``SUPPORT`` of the labelled urls and ``LEAST`` of them, at leas
 smaller set of its tokens does as well.  Rules are kept in an inverted index under their rarest token: a url
 looks up its own tokens there and tests only the rules it finds.
 
-Of a labelled url the miner sees the ``TOKENS`` tokens whose share of unwanted urls is furthest from the
-common one, since a set of n tokens has 2^n subsets.  That bounds the fit alone; all tokens of every url are
-looked up.
+A set of n tokens has 2^n subsets, so FP-growth gets urls of at most ``TOKENS`` tokens.  Where urls are longer, each of their
+tokens is taken in turn: the urls that hold it, with their tokens more common than it, are mined on their own, again
+without tokens that can add no rule, and so on until all are short.  No token of a url is left out.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
@@ -25,8 +26,9 @@ from plyframe.llm.shared import written
 SUPPORT = 0.002
 LEAST = 10
 CONFIDENCE = 0.5
-TOKENS = 12
+TOKENS = 12  # of a url, that FP-growth takes whole
 UNWANTED = "!"
+SETS = "tokens array<string>, held long, unwanted long"
 
 
 @dataclass(frozen=True)
@@ -97,52 +99,88 @@ def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return pages.select("page_id", "url").join(own, "page_id").select("url", "unwanted")
 
 
-def transactions(labelled: DataFrame, size: int = TOKENS) -> DataFrame:
-    """(items, unwanted): per labelled url its ``size`` most telling tokens, and the mark if it is unwanted.
+def _telling(rows: DataFrame, enough: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (row, prefix, tokens, unwanted) without the tokens that add no rule, and the sets of prefix and one token.
 
-    A token tells by its urls times their deviation from the share of unwanted urls among all, in whole
-    numbers; ties go to the smaller token.
+    The rows of a prefix are all urls that hold it.  A token goes if too few unwanted urls hold it, or if all rows do,
+    as the prefix alone is as sure; so does one that is sure by itself, once it is listed.  Without a prefix, what all urls hold is
+    listed first.  Tokens stand by their urls, most first.
     """
-    rows = labelled.select(F.monotonically_increasing_id().alias("row"), tokens_of(F.col("url")).alias("tokens"), "unwanted")
-    rows = written(rows, "url-rows")
-    total = rows.agg(F.count("*").alias("n"), F.count_if("unwanted").alias("bad")).first()
-    each = rows.select("row", "unwanted", F.explode("tokens").alias("token"))
-    wide = "decimal(20,0)"
-    off = F.abs(F.count_if("unwanted").cast(wide) * F.lit(total["n"]).cast(wide) - F.count("*").cast(wide) * F.lit(total["bad"]).cast(wide))
-    telling = each.groupBy("token").agg(off.alias("off"))
-    place = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("off"), "token"))
-    chosen = each.join(telling, "token").withColumn("place", place).where(F.col("place") <= size)
-    items = chosen.groupBy("row").agg(F.array_sort(F.collect_list("token")).alias("items"))
-    return rows.select("row", "unwanted").join(items, "row").select(
-        F.when(F.col("unwanted"), F.array_append("items", F.lit(UNWANTED))).otherwise(F.col("items")).alias("items"), "unwanted"
-    )
+    whole = rows.groupBy("prefix").agg(F.count("*").alias("n"))
+    each = rows.select("row", "prefix", "unwanted", F.explode("tokens").alias("token"))
+    counts = each.groupBy("prefix", "token").agg(F.count("*").alias("held"), F.count_if("unwanted").alias("bad")).where(F.col("bad") >= enough)
+    counts = written(counts.join(whole, "prefix").where((F.col("held") < F.col("n")) | (F.size("prefix") == 0)), "url-tokens")
+    found = counts.select(F.array_sort(F.array_append("prefix", F.col("token"))).alias("tokens"), "held", F.col("bad").alias("unwanted"))
+    open_ = counts.where("held < n AND bad < held").select("prefix", "token", "held")
+    place = F.struct((-F.col("held")).alias("rarity"), "token")
+    kept = each.join(open_, ["prefix", "token"]).groupBy("row", "prefix", "unwanted").agg(F.sort_array(F.collect_list(place))["token"].alias("tokens"))
+    return written(kept, "url-rows"), found
+
+
+def _narrower(rows: DataFrame) -> DataFrame:
+    """The rows under each of their tokens in turn, with the tokens before it; those without such count among the prefix's."""
+    each = rows.select("row", "prefix", "tokens", "unwanted", F.posexplode("tokens").alias("place", "token"))
+    return each.select("row", F.array_append("prefix", F.col("token")).alias("prefix"), F.slice("tokens", F.lit(1), F.col("place")).alias("tokens"), "unwanted")
+
+
+def _item(token: Column) -> Column:
+    """A token under its row's prefix, as text: sets of different prefixes share no item."""
+    return F.to_json(F.array_append("prefix", token))
+
+
+def _frequent(rows: DataFrame, enough: float) -> DataFrame:
+    """(tokens, held, unwanted): by FP-growth, the sets of a prefix and two or more tokens."""
+    items = F.transform("tokens", _item)
+    held = written(rows.select(F.when(F.col("unwanted"), F.array_append(items, _item(F.lit(UNWANTED)))).otherwise(items).alias("items")), "url-transactions")
+    n = held.count()
+    if not n:
+        return rows.sparkSession.createDataFrame([], SETS)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, enough / n * (1 - 1e-9))).fit(held)
+    many = model.freqItemsets.where(F.size("items") > 1)
+    tokens = F.array_sort(F.array_distinct(F.flatten(F.transform("items", lambda x: F.from_json(x, "array<string>")))))
+    sets = written(many.select(tokens.alias("tokens"), F.size("items").alias("long"), "freq"), "url-sets")
+    both = sets.where(F.array_contains("tokens", UNWANTED) & (F.col("long") > 2))
+    both = both.select(F.array_remove("tokens", UNWANTED).alias("tokens"), F.col("freq").alias("unwanted"))
+    alone = sets.where(~F.array_contains("tokens", UNWANTED)).select("tokens", F.col("freq").alias("held"))
+    return alone.join(both, "tokens")
 
 
 def mine(labelled: DataFrame, support: float = SUPPORT, least: int = LEAST, confidence: float = CONFIDENCE, size: int = TOKENS) -> DataFrame:
     """(tokens, held, unwanted, confidence): the rules, tokens sorted.
 
     ``held`` urls have all the tokens, ``unwanted`` of them are unwanted.  Without labelled urls there are none.
+    ``size`` is how many tokens of a url FP-growth gets at most; the rules are the same for any.
+
+    A set whose urls are those of a smaller set is no surer, so neither it nor any set that holds it is listed.
+    Urls with many common tokens in ever new mixtures still have many sets, which takes time.
     """
-    held = written(transactions(labelled, size), "url-transactions")
-    n = held.count()
-    schema = "tokens array<string>, held long, unwanted long, confidence double"
-    if not n:
-        return labelled.sparkSession.createDataFrame([], schema)
+    rows = labelled.select(F.monotonically_increasing_id().alias("row"), F.array().cast("array<string>").alias("prefix"), tokens_of(F.col("url")).alias("tokens"), "unwanted")
+    rows = written(rows.where(F.size("tokens") > 0), "url-rows")
     # A rule's urls must number ``need``; its unwanted ones alone may be as few as ``need`` times the confidence.
-    need = max(least, support * n)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, need * confidence / n * (1 - 1e-9))).fit(held)
-    sets = written(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "url-sets")
-    both = sets.where(F.array_contains("items", UNWANTED) & (F.size("items") > 1))
-    both = both.select(F.array_remove("items", UNWANTED).alias("tokens"), F.col("freq").alias("unwanted"))
-    alone = sets.where(~F.array_contains("items", UNWANTED)).select(F.col("items").alias("tokens"), F.col("freq").alias("held"))
-    rules = both.join(alone, "tokens").withColumn("confidence", F.col("unwanted") / F.col("held"))
+    need = max(least, support * rows.count())
+    enough = need * confidence * (1 - 1e-9)
+    sets, short = [], []
+    while True:
+        rows, found = _telling(rows, enough)
+        sets.append(found)
+        long = rows.where(F.size("tokens") > size).select("prefix").distinct()
+        short.append(rows.join(long, "prefix", "left_anti"))
+        if long.isEmpty():
+            break
+        rows = written(_narrower(rows.join(long, "prefix", "left_semi")), "url-rows")
+    sets.append(_frequent(reduce(DataFrame.unionByName, short), enough))
+    rules = reduce(DataFrame.unionByName, sets).withColumn("confidence", F.col("unwanted") / F.col("held"))
     rules = written(rules.where((F.col("held") >= need) & (F.col("confidence") >= confidence)).select("tokens", "held", "unwanted", "confidence"), "url-rules")
-    # A rule goes if leaving out tokens of it gives one at least as sure: all its subsets are looked up by equality.
+    # A rule goes if leaving out tokens of it gives one at least as sure: its subsets are looked up by equality,
+    # or for a long one the rules whose first token it has.
     part = F.transform(F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), F.size("tokens")) - 2), _subset)
-    parts = rules.where(F.size("tokens") > 1).select("tokens", "confidence", F.explode(part).alias("part"))
+    parts = rules.where(F.size("tokens").between(2, TOKENS)).select("tokens", "confidence", F.explode(part).alias("part"))
     smaller = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("sure"))
-    needless = parts.join(smaller, "part").where("sure >= confidence").select("tokens").distinct()
-    return rules.join(needless, "tokens", "left_anti")
+    needless = parts.join(smaller, "part").where("sure >= confidence").select("tokens")
+    long = rules.where(F.size("tokens") > TOKENS).select("tokens", "confidence", F.explode("tokens").alias("first"))
+    within = (F.size(F.array_except("part", "tokens")) == 0) & (F.size("part") < F.size("tokens"))
+    held = long.join(smaller.withColumn("first", F.element_at("part", 1)), "first").where(within & F.expr("sure >= confidence"))
+    return rules.join(needless.unionByName(held.select("tokens")).distinct(), "tokens", "left_anti")
 
 
 def _subset(mask: Column) -> Column:

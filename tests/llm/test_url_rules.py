@@ -71,6 +71,61 @@ def test_mined_rules_are_those_of_all_subsets(spark):
     assert got == {p: rules[p] for p in least} and ("h:m", "p:bet") in got
 
 
+def rules_of_all_subsets(sets, bad, least, confidence):
+    counts = {}
+    for tokens, b in zip(sets, bad, strict=True):
+        for k in range(1, len(tokens) + 1):
+            for part in itertools.combinations(sorted(tokens), k):
+                held, unwanted = counts.get(part, (0, 0))
+                counts[part] = (held + 1, unwanted + b)
+    rules = {p: c for p, c in counts.items() if c[0] >= least and c[1] / c[0] >= confidence}
+    sure = {p: c[1] / c[0] for p, c in rules.items()}
+    needless = {p for p in rules for k in range(1, len(p)) for q in itertools.combinations(p, k) if sure.get(q, -1) >= sure[p]}
+    return {p: c for p, c in rules.items() if p not in needless}
+
+
+def mined(labelled, **limits):
+    rows = url_rules.mine(labelled, **limits).collect()
+    got = {tuple(x.tokens): (x.held, x.unwanted) for x in rows}
+    assert len(got) == len(rows)
+    return got
+
+
+def labelled_of(spark, paths, bad):
+    urls = ["http://a.org/" + "/".join(p) for p in paths]
+    return spark.createDataFrame(list(zip(urls, bad, strict=True)), "url string, unwanted boolean")
+
+
+def test_long_urls_are_mined_whole(spark):
+    """More than twelve tokens a url, and a rule of those that tell least on their own."""
+    r = random.Random(3)
+    pool = [f"w{chr(97 + i)}" for i in range(14)]
+    paths = [sorted(r.sample(pool, r.choice([11, 12, 13]))) for _ in range(60)]
+    bad = [("wa" in p) != ("wb" in p) or r.random() < 0.2 for p in paths]
+    want = rules_of_all_subsets([{"h:a", "h:org", *(f"p:{w}" for w in p)} for p in paths], bad, 9, 0.55)
+    got = mined(labelled_of(spark, paths, bad), support=0.0, least=9, confidence=0.55)
+    assert got == want and any(len(p) > 2 for p in want)
+
+
+@pytest.mark.parametrize("size", [1, 2, 4])
+def test_rules_do_not_depend_on_what_fp_growth_gets(spark, size):
+    urls = random_urls(300, 6)
+    r = random.Random(2)
+    bad = [("bet" in u and "//m." in u) or r.random() < 0.3 for u in urls]
+    labelled = spark.createDataFrame(list(zip(urls, bad, strict=True)), "url string, unwanted boolean")
+    limits = {"support": 0.0, "least": 5, "confidence": 0.4}
+    sets = [set(x.t) for x in labelled.select(url_rules.tokens_of(F.col("url")).alias("t")).collect()]
+    got = mined(labelled, size=size, **limits)
+    assert got == rules_of_all_subsets(sets, bad, 5, 0.4) and any(len(p) > 2 for p in got)
+
+
+def test_every_token_of_repeated_long_urls_is_a_rule(spark):
+    words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(8)]
+    paths = [words] * 30 + [[*words[:-1], "x"]] * 10 + [["y"]] * 60
+    got = mined(labelled_of(spark, paths, [True] * 25 + [False] * 5 + [True] * 3 + [False] * 67))
+    assert got == {(f"p:{words[-1]}",): (30, 25), **{(f"p:{w}",): (40, 28) for w in words[:-1]}}
+
+
 def test_rules_decide_on_open_urls_only(spark):
     urls = ["http://m.win.org/en/bet", "http://m.win.org/en/bet", "http://m.win.com/en/bet", "http://m.win.org/en/art", None]
     learned = spark.createDataFrame([(["h:m", "p:bet"], 20, 15, 0.75), (["h:m", "h:win", "p:bet"], 10, 9, 0.9), (["h:absent"], 9, 9, 1.0)],
