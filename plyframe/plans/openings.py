@@ -79,7 +79,7 @@ def write_drill(games: DataFrame, path: str, lengths: int = LENGTHS) -> None:
         "player_color", "player_wdl", F.concat(prefix_text(F.col(MOVES), lengths), F.lit(" ")).alias("line"), F.size(MOVES).alias("long"), "game_analysis_url"
     )
     ordered = own.repartitionByRange("player_color", "line").sortWithinPartitions("player_color", "line")
-    ordered.write.mode("overwrite").partitionBy("player_color").parquet(path)
+    ordered.write.mode("overwrite").option("compression", "zstd").partitionBy("player_color").parquet(path)
 
 
 def games_of(drill: DataFrame, opening: str, count: int, color: str, wdl: str) -> DataFrame:
